@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from skytables.sources.files import binary_files
+from skytables.sources.files import binary_files, first_file
 
 _BLOCK = 2880
 _CARD = 80
@@ -124,9 +124,9 @@ def read_fits_table(spark: SparkSession, path: str, schema: T.StructType, glob:
     return decode_fits_tables(binary_files(spark, path, glob), schema)
 
 
-def fits_schema(spark: SparkSession, file: str) -> T.StructType:
-    """Schema of the binary table in one file. A helper to look at a file once, not a job step."""
-    data = spark.read.format("binaryFile").load(file).select("content").first()["content"]
+def fits_schema(spark: SparkSession, path: str, glob: str = "*.fits*") -> T.StructType:
+    """Schema of the binary table in the first file. To be run once and kept, not as a job step."""
+    data = spark.read.format("binaryFile").load(first_file(spark, path, glob)).select("content").first()["content"]
     if data[:2] == b"\x1f\x8b":
         data = gzip.decompress(data)
     cards, _ = _table_unit(data)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skytables.schemas import OTMO, PSC, STRM, STRM_CLASSES
+from skytables.sources.files import first_file
 
 # ECSV datatype names and the Spark types that hold them.
 _ECSV_TYPES = {
@@ -44,9 +45,9 @@ def read_strm_csv(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("class", F.when(known, F.col("class")).otherwise(bad))
 
 
-def ecsv_schema(spark: SparkSession, file: str) -> T.StructType:
-    """Schema declared in the comment header of one ECSV file. A helper to look at a file once, not a job step."""
-    lines = spark.read.text(file).where(F.col("value").rlike(r"^#\s*- *\{"))
+def ecsv_schema(spark: SparkSession, path: str, glob: str = "*.csv*") -> T.StructType:
+    """Schema declared in the comment header of the first ECSV file. To be run once and kept, not as a job step."""
+    lines = spark.read.text(first_file(spark, path, glob)).where(F.col("value").rlike(r"^#\s*- *\{"))
     fields = []
     for line in (row["value"] for row in lines.toLocalIterator()):
         name = re.search(r"\bname: *([^,}]+)", line).group(1).strip().strip("'\"")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def binary_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
@@ -17,3 +18,11 @@ def binary_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
         .load(path)
         .select("path", "content")
     )
+
+
+def first_file(spark: SparkSession, path: str, glob: str) -> str:
+    """The first matching file by name, without reading any."""
+    found = binary_files(spark, path, glob).agg(F.min("path").alias("path")).first()["path"]
+    if found is None:
+        raise FileNotFoundError(f"no files {glob} in {path}")
+    return found

@@ -63,7 +63,7 @@ def _archive_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for files in batches:
         for path, content in zip(files.column("path"), files.column("content")):
             path, header, headers, values = path.as_py(), None, [], []
-            with tarfile.open(fileobj=io.BytesIO(content.as_buffer()), mode="r|*") as archive:
+            with tarfile.open(fileobj=pa.BufferReader(content.as_buffer()), mode="r:gz") as archive:
                 for member in archive:
                     if not member.isfile():
                         continue

@@ -23,12 +23,6 @@ def stage_csv(df: DataFrame, **options) -> str:
     return path
 
 
-def stage_text(df: DataFrame, compression: str = "none") -> str:
-    path = shared_dir(df.sparkSession)
-    df.write.text(path, compression=compression)
-    return path
-
-
 def _write_batches(
     batches: Iterator[pa.RecordBatch], folder: str, name: str, encode: Callable[[pa.RecordBatch], bytes]
 ) -> Iterator[pa.RecordBatch]:
@@ -45,7 +39,7 @@ def _write_batches(
 def stage_encoded(df: DataFrame, name: str, encode: Callable[[pa.RecordBatch], bytes]) -> str:
     """Encode each Arrow batch as one file ``name`` (a format of task and batch number)."""
     folder = shared_dir(df.sparkSession)
-    uri = folder if "://" in folder or folder.startswith("/") else folder.replace("file:", "", 1)
+    uri = folder if "://" in folder else folder.removeprefix("file:")
     writer = partial(_write_batches, folder=uri, name=name, encode=encode)
     df.mapInArrow(writer, "rows BIGINT").write.format("noop").mode("overwrite").save()
     return folder
