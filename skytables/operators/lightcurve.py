@@ -63,15 +63,23 @@ def lc_summary(olc: DataFrame) -> DataFrame:
 
 
 def build_olc(raw: DataFrame) -> DataFrame:
-    """Object light curves: good epochs only, objects without one dropped. A projection: nothing is shuffled."""
+    """Object light curves: good epochs only, objects without one dropped. A projection: nothing is shuffled.
+
+    The row filter stops at the first good epoch; the epoch filter then runs once per kept object.
+    """
     arrays = ["hmjd", "mag", "magerr", "clrcoeff", "catflags"]
-    epochs = F.when(equal_sizes(arrays), F.arrays_zip(*arrays)).otherwise(
-        F.raise_error(F.lit("epoch arrays have different lengths"))
+
+    def good(epoch: Column) -> Column:
+        return is_good(epoch["magerr"], epoch["catflags"])
+
+    has_good = F.when(equal_sizes(arrays), F.exists(F.arrays_zip("magerr", "catflags"), good)).otherwise(
+        F.raise_error(F.lit("epoch arrays have different lengths")).cast("boolean")
+    )
+    picked = raw.where(has_good).select(
+        *_object_columns(),
+        F.size("hmjd").alias("nobs_w_bad"),
+        F.filter(F.arrays_zip(*arrays), good).alias("good"),
     )
-    good = F.filter(epochs, lambda e: is_good(e["magerr"], e["catflags"]))
-    picked = raw.select(
-        *_object_columns(), F.size("hmjd").alias("nobs_w_bad"), good.alias("good")
-    ).where(F.size("good") > 0)
     olc = picked.select(
         *_OBJECT,
         "nobs_w_bad",

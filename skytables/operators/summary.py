@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skytables.functions.arrays import array_extrema, sorted_unique
+from skytables.functions.arrays import array_extrema, is_good, sorted_unique
+from skytables.functions.sky import sky_cell
 from skytables.operators.filters import mjd_window
 from skytables.schemas import BAND_NUMBERS, PRIVATE_INTERVALS
 
@@ -16,17 +17,11 @@ def _zero(c: Column) -> Column:
     return F.coalesce(c, F.lit(0.0))
 
 
-def source_meta(source_obs: DataFrame, where: Column | None = None) -> DataFrame:
-    """Position, member lists, counts, magnitudes and durations of each source.
-
-    Epochs are first folded to one row per member object, map-side, with plain hash aggregates. What the second step
-    collects per source is then bounded by the member objects: one per band and field.
-    """
-    rows = source_obs if where is None else source_obs.where(where)
-    per_object = rows.groupBy("sid", "oid", "band", "fieldid").agg(
-        F.min("ra").alias("ra"),
-        F.min("dec").alias("dec"),
-        F.min("cell").alias("cell"),
+def _fold(epochs: DataFrame, *keys: str) -> DataFrame:
+    """Epochs to one row of statistics per object, with plain hash aggregates that combine map-side."""
+    place = [F.min(c).alias(c) for c in ("ra", "dec", "cell") if "sid" in keys]
+    return epochs.groupBy(*keys, "oid", "band", "fieldid").agg(
+        *place,
         F.count("*").alias("n"),
         F.sum(F.col("mag").cast("double")).alias("mag_sum"),
         F.min("mag").alias("mag_lo"),
@@ -35,6 +30,26 @@ def source_meta(source_obs: DataFrame, where: Column | None = None) -> DataFrame
         F.max("mjd").alias("mjd_hi"),
     )
 
+
+def source_meta(source_obs: DataFrame, where: Column | None = None) -> DataFrame:
+    """Position, member lists, counts, magnitudes and durations of each source, from source observations."""
+    return _summarise(_fold(source_obs if where is None else source_obs.where(where), "sid"))
+
+
+def source_meta_of_members(obs: DataFrame, members: DataFrame, where: Column | None = None) -> DataFrame:
+    """The same straight from observations and source members.
+
+    Epochs are folded per object before the join, so the join moves one row per object, and an object with very many
+    epochs meets its source as one row like any other.
+    """
+    good = obs.where(is_good()) if where is None else obs.where(is_good() & where)
+    placed = members.withColumn("cell", sky_cell("ra", "dec"))
+    return _summarise(_fold(good).join(placed, "oid"))
+
+
+def _summarise(per_object: DataFrame) -> DataFrame:
+    """Fold object statistics per source. What is collected is bounded by the members: one per band and field."""
+
     def of(bands: tuple[int, ...], name: str) -> Column:
         return F.when(F.col("band").isin(*bands), F.col(name))
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from skytables.operators.match import circle_match, nearest_matches
 from skytables.operators.merge import source_members, source_observations
 from skytables.operators.quantiles import partitioned_run
-from skytables.operators.summary import source_meta, source_meta_short
+from skytables.operators.summary import source_meta, source_meta_of_members, source_meta_short
 from skytables.session import materialise
 from skytables.sources.tables import create_database, write_table
 
@@ -28,8 +28,7 @@ def build_sources(meta: DataFrame, obs: DataFrame, radius_arcsec: float = 0.2, s
     if store_xmatch:
         xmatch = materialise(xmatch)
     members = source_members(xmatch)
-    observations = source_observations(obs, members)
-    return Sources(xmatch, members, observations, source_meta(observations))
+    return Sources(xmatch, members, source_observations(obs, members), source_meta_of_members(obs, members))
 
 
 def circle_match_in_parts(

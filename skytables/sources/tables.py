@@ -19,13 +19,16 @@ def drop_table(spark: SparkSession, name: str, missing_ok: bool = False) -> None
 
 
 def clustered(df: DataFrame, sort_by: list[str], partition_by: list[str] | None = None) -> DataFrame:
-    """Rows ranged and sorted on the layout keys, so that files have narrow key ranges for scans to skip.
+    """Rows laid out on the sort keys, so that scans can skip files or row groups by their key ranges.
 
-    The source partition number is the last range key: equal keys, however many, may then go to several tasks.
+    Under partition columns, rows are rebalanced: adaptive execution cuts a heavy partition into files of the advisory
+    size and joins light ones, in one pass over the input. Without them, rows are ranged on the keys over all files;
+    the source partition number is the last range key, so that equal keys, however many, may go to several tasks.
     """
-    keys = [*(partition_by or []), *sort_by]
+    if partition_by:
+        return df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_by)
     spread = df.withColumn("_spread", F.spark_partition_id())
-    return spread.repartitionByRange(*keys, "_spread").drop("_spread").sortWithinPartitions(*keys)
+    return spread.repartitionByRange(*sort_by, "_spread").drop("_spread").sortWithinPartitions(*sort_by)
 
 
 def write_table(

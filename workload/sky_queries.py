@@ -266,6 +266,11 @@ def _flat(meta_rows: DataFrame) -> DataFrame:
 
 
 @query("source_meta", f"WITH {LINEITEM_CHAIN_SQL} {SOURCE_META_SELECT}")
+def _(spark, sf):
+    return _flat(source_meta(build_sources(meta(spark, sf), obs(spark, sf), RADIUS).observations))
+
+
+@query("build_sources", f"WITH {LINEITEM_CHAIN_SQL} {SOURCE_META_SELECT}")
 def _(spark, sf):
     return _flat(build_sources(meta(spark, sf), obs(spark, sf), RADIUS).meta)
 
