@@ -24,6 +24,18 @@ def filter_by_mask(arr, mask) -> Column:
     return F.transform(pairs, lambda p: p["v"])
 
 
+def good_elements(arr: str, magerr: str = "magerr", catflags: str = "catflags") -> Column:
+    """Elements of ``arr`` at the good epochs; reads the two arrays by place, without building a mask or structs."""
+    return F.filter(arr, lambda _, i: is_good(F.get(magerr, i), F.get(catflags, i)))
+
+
+def has_good_epoch(magerr: str = "magerr", catflags: str = "catflags") -> Column:
+    """Whether some epoch is good; stops at the first one."""
+    places = F.sequence(F.lit(0), F.size(magerr) - 1)
+    found = F.exists(places, lambda i: is_good(F.get(magerr, i), F.get(catflags, i)))
+    return F.when(F.size(magerr) > 0, found).otherwise(False)
+
+
 def masked_reduce(values, mask: Column, how: str) -> Column:
     """``count``, ``min``, ``max`` or ``avg`` of the masked elements; NULL when none is left (0 for ``count``)."""
     kept = filter_by_mask(values, mask)

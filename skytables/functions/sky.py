@@ -20,18 +20,13 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _at_most(value: Column, limit: Column) -> Column:
-    """``least`` that keeps a NULL value."""
-    return F.when(value > limit, limit).otherwise(value)
-
-
 def angular_distance(ra1, dec1, ra2, dec2) -> Column:
     """Great-circle distance in degrees (haversine, which stays accurate below an arcsecond)."""
     ra1, dec1, ra2, dec2 = map(_col, (ra1, dec1, ra2, dec2))
     half_dec = F.sin(F.radians(dec2 - dec1) / 2)
     half_ra = F.sin(F.radians(ra2 - ra1) / 2)
     h = half_dec * half_dec + F.cos(F.radians(dec1)) * F.cos(F.radians(dec2)) * half_ra * half_ra
-    return F.degrees(2 * F.asin(F.sqrt(_at_most(h, F.lit(1.0)))))
+    return F.degrees(2 * F.asin(F.sqrt(F.when(h > 1.0, 1.0).otherwise(h))))
 
 
 def normalize_ra(ra) -> Column:
@@ -44,7 +39,7 @@ def zone_count(level: int) -> int:
 
 
 def zone_of(dec, level: int) -> Column:
-    return _at_most(F.floor((_col(dec) + 90.0) * level), F.lit(zone_count(level) - 1).cast("bigint"))
+    return F.least(F.floor((_col(dec) + 90.0) * level), F.lit(zone_count(level) - 1))
 
 
 def bins_in_zone(zone, level: int) -> Column:
@@ -57,7 +52,8 @@ def sky_cell(ra, dec, level: int = FINE) -> Column:
     """Integer sky cell of a position in degrees; NULL without a position."""
     zone = zone_of(dec, level)
     bins = bins_in_zone(zone, level)
-    return zone * ZONE_STRIDE + _at_most(F.floor(normalize_ra(ra) / 360.0 * bins), bins - 1)
+    cell = zone * ZONE_STRIDE + F.least(F.floor(normalize_ra(ra) / 360.0 * bins), bins - 1)
+    return F.when(_col(ra).isNotNull() & _col(dec).isNotNull(), cell)
 
 
 def with_neighbour_cells(
@@ -79,7 +75,8 @@ def with_neighbour_cells(
     last = F.floor((ra_n + F.col("_half")) / 360.0 * F.col("_bins"))
     whole = F.col("_polar") | (last - first + 1 >= F.col("_bins"))
     return (
-        df.withColumns({"_polar": polar, "_half": half_width, "_zone": F.explode(zones)})
+        df.where(F.col(ra).isNotNull() & F.col(dec).isNotNull())
+        .withColumns({"_polar": polar, "_half": half_width, "_zone": F.explode(zones)})
         .withColumn("_bins", bins_in_zone("_zone", level))
         .withColumn(
             "_bin",

@@ -9,14 +9,13 @@ from skytables.functions.arrays import (
     array_join,
     array_mean,
     equal_sizes,
-    good_mask,
+    good_elements,
     has_any,
+    has_good_epoch,
     is_good,
-    masked_reduce,
 )
 from skytables.functions.sky import sky_cell
 
-_OBJECT = ("oid", "band", "fieldid", "rcid", "ra", "dec")
 META_COLUMNS = (
     "oid", "nobs", "ngoodobs", "band", "fieldid", "rcid", "ra", "dec", "cell",
     "durgood", "mingoodmag", "maxgoodmag", "meangoodmag",
@@ -65,31 +64,20 @@ def lc_summary(olc: DataFrame) -> DataFrame:
 def build_olc(raw: DataFrame) -> DataFrame:
     """Object light curves: good epochs only, objects without one dropped. A projection: nothing is shuffled.
 
-    The row filter stops at the first good epoch; the epoch filter then runs once per kept object.
+    The row filter stops at the first good epoch; each array is then filtered once per kept object.
     """
-    arrays = ["hmjd", "mag", "magerr", "clrcoeff", "catflags"]
-
-    def good(epoch: Column) -> Column:
-        return is_good(epoch["magerr"], epoch["catflags"])
-
-    has_good = F.when(equal_sizes(arrays), F.exists(F.arrays_zip("magerr", "catflags"), good)).otherwise(
+    arrays = {"mjd": "hmjd", "mag": "mag", "magerr": "magerr", "clrcoeff": "clrcoeff"}
+    kept = F.when(equal_sizes([*arrays.values(), "catflags"]), has_good_epoch()).otherwise(
         F.raise_error(F.lit("epoch arrays have different lengths")).cast("boolean")
     )
-    picked = raw.where(has_good).select(
+    # Renamed in a step of its own: inside a lambda, an alias of the same select would win over the raw column.
+    filtered = raw.where(kept).select(
         *_object_columns(),
         F.size("hmjd").alias("nobs_w_bad"),
-        F.filter(F.arrays_zip(*arrays), good).alias("good"),
-    )
-    olc = picked.select(
-        *_OBJECT,
-        "nobs_w_bad",
-        sky_cell("ra", "dec").alias("cell"),
-        F.col("good.hmjd").alias("mjd"),
-        F.col("good.mag").alias("mag"),
-        F.col("good.magerr").alias("magerr"),
-        F.col("good.clrcoeff").alias("clrcoeff"),
+        sky_cell(F.col("objra").cast("double"), F.col("objdec").cast("double")).alias("cell"),
+        *[good_elements(source).alias(f"good_{name}") for name, source in arrays.items()],
     )
-    return lc_summary(olc)
+    return lc_summary(filtered.withColumnsRenamed({f"good_{name}": name for name in arrays}))
 
 
 def observations_view(olc: DataFrame) -> DataFrame:
@@ -141,22 +129,16 @@ def object_meta_from_raw(raw: DataFrame, strict: bool = True) -> DataFrame:
     ``strict`` keeps objects with a good epoch. Otherwise an object passes when some epoch has a positive error and
     some epoch, perhaps another one, has no flag.
     """
-    mask = good_mask()
-    meta = raw.select(
+    loose = has_any("magerr", lambda e: e > 0) & has_any("catflags", lambda f: f == 0)
+    curves = raw.where(has_good_epoch() if strict else loose).select(
         *_object_columns(),
         F.col("nepochs").cast("int").alias("nobs"),
         sky_cell(F.col("objra").cast("double"), F.col("objdec").cast("double")).alias("cell"),
-        masked_reduce("mag", mask, "count").alias("ngoodobs"),
-        F.coalesce(
-            masked_reduce("hmjd", mask, "max") - masked_reduce("hmjd", mask, "min"), F.lit(0.0)
-        ).alias("durgood"),
-        masked_reduce("mag", mask, "min").alias("mingoodmag"),
-        masked_reduce("mag", mask, "max").alias("maxgoodmag"),
-        masked_reduce("mag", mask, "avg").cast("float").alias("meangoodmag"),
-        (has_any("magerr", lambda e: e > 0) & has_any("catflags", lambda f: f == 0)).alias("_loose"),
+        good_elements("hmjd").alias("good_mjd"),
+        good_elements("mag").alias("good_mag"),
     )
-    kept = F.col("ngoodobs") > 0 if strict else F.col("_loose")
-    return meta.where(kept).select(*META_COLUMNS)
+    meta = lc_summary(curves.withColumnsRenamed({"good_mjd": "mjd", "good_mag": "mag"}))
+    return meta.withColumn("durgood", F.coalesce("durgood", F.lit(0.0))).select(*META_COLUMNS)
 
 
 def good_objects(meta: DataFrame) -> DataFrame:

@@ -20,7 +20,8 @@ def make_raw(spark, *curves):
     data = []
     for oid, epochs in curves:
         mjd, mag, err, flags = map(list, zip(*epochs)) if epochs else ([], [], [], [])
-        data.append((oid, 1, 200, 3, 10.5, -20.25, len(epochs), mjd, mag, err, [0.0] * len(mjd), flags))
+        colour = [float(i) for i in range(len(mjd))]
+        data.append((oid, 1, 200, 3, 10.5, -20.25, len(epochs), mjd, mag, err, colour, flags))
     return spark.createDataFrame(data, RAW_LIGHTCURVES)
 
 
@@ -33,7 +34,8 @@ def test_olc_keeps_good_epochs(spark):
     row = olc.first()
     assert olc.count() == 1
     assert (row.oid, row.nobs_w_bad, row.ngoodobs) == (7, 4, 2)
-    assert (row.mjd, row.mag) == ([1.0, 5.0], [15.0, 16.0])
+    assert (row.mjd, row.mag, row.clrcoeff) == ([1.0, 5.0], [15.0, 16.0], [0.0, 3.0])
+    assert row.magerr == pytest.approx([0.1, 0.2])
     assert (row.durgood, row.mingoodmag, row.maxgoodmag, row.meangoodmag) == (4.0, 15.0, 16.0, 15.5)
     assert (row.ra, row.dec) == (10.5, -20.25)
 

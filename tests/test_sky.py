@@ -147,3 +147,13 @@ def test_deredden_keeps_unmapped_rows(spark, rows):
     dust = catalogue.where("oid = 0").select(sky_cell("ra", "dec").alias("cell"), F.lit(0.5).alias("eb_v"))
     got = deredden(catalogue, dust, FINE, ["spinrad"])
     assert rows(got, "oid", F.round("spinrad_rs", 4)) == [(0, pytest.approx(0.9605)), (1, None)]
+
+
+def test_null_positions(spark):
+    df = spark.createDataFrame([(None, 1.0), (1.0, None), (1.0, 1.0)], "ra double, dec double")
+    row = df.select(
+        F.count(sky_cell("ra", "dec")).alias("cells"),
+        F.count(angular_distance("ra", "dec", F.lit(0.0), F.lit(0.0))).alias("distances"),
+    ).first()
+    assert (row.cells, row.distances) == (1, 1)
+    assert with_neighbour_cells(df, 0.0001, FINE).select("ra").distinct().count() == 1

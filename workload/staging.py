@@ -63,7 +63,8 @@ def encode_fits(batch: pa.RecordBatch, zipped: bool = False) -> bytes:
             forms.append("L")
         else:
             is_list = pa.types.is_list(column.type)
-            values = np.array(column.to_pylist() if is_list else column)
+            flat = (column.flatten() if is_list else column).to_numpy(zero_copy_only=False)
+            values = flat.reshape(batch.num_rows, -1) if is_list else flat
             target = column.type.value_type if is_list else column.type
             big_endian = target.to_pandas_dtype()(0).dtype.newbyteorder(">")
             shape = values.shape[1:]
