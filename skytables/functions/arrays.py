@@ -25,15 +25,16 @@ def filter_by_mask(arr, mask) -> Column:
 
 
 def good_elements(arr: str, magerr: str = "magerr", catflags: str = "catflags") -> Column:
-    """Elements of ``arr`` at the good epochs; reads the two arrays by place, without building a mask or structs."""
+    """Elements of ``arr`` at the good epochs; reads the two arrays by place, without building a mask or structs.
+
+    For stored columns: an expression in their stead would be evaluated anew for each element.
+    """
     return F.filter(arr, lambda _, i: is_good(F.get(magerr, i), F.get(catflags, i)))
 
 
 def has_good_epoch(magerr: str = "magerr", catflags: str = "catflags") -> Column:
     """Whether some epoch is good; stops at the first one."""
-    places = F.sequence(F.lit(0), F.size(magerr) - 1)
-    found = F.exists(places, lambda i: is_good(F.get(magerr, i), F.get(catflags, i)))
-    return F.when(F.size(magerr) > 0, found).otherwise(False)
+    return F.exists(F.arrays_zip(magerr, catflags), lambda e: is_good(e[magerr], e[catflags]))
 
 
 def masked_reduce(values, mask: Column, how: str) -> Column:

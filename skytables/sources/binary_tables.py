@@ -9,6 +9,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -87,7 +88,8 @@ def _row_dtype(columns: list[tuple[str, int, str]]) -> np.dtype:
 def _to_arrow(values: np.ndarray, letter: str, target: pa.DataType) -> pa.Array:
     """One column as Arrow in native byte order; vectors become lists, text loses its padding."""
     if letter == "A":
-        return pa.array([v.decode("ascii").rstrip(" \0") for v in values.tolist()], pa.string())
+        text = pa.array(np.ascontiguousarray(values), pa.binary()).cast(pa.string())
+        return pc.utf8_rtrim(text, " \0")
     flat = values.reshape(-1)
     flat = flat == b"T" if letter == "L" else flat.astype(flat.dtype.newbyteorder("="))
     if not pa.types.is_list(target):

@@ -291,7 +291,7 @@ def _(spark, sf):
 
 @query("lightcurves_to_sources", f"WITH {ORDERS_CHAIN_SQL} {SOURCE_META_SELECT}")
 def _(spark, sf):
-    curves = olc(spark, sf)
+    curves = materialise(olc(spark, sf))  # stored once, as it feeds both the metadata and the observations
     return _flat(build_sources(object_meta_from_olc(curves), observations_view(curves), RADIUS).meta)
 
 

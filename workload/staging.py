@@ -86,7 +86,7 @@ def encode_fits(batch: pa.RecordBatch, zipped: bool = False) -> bytes:
         cards += [(f"TTYPE{i}", f"'{field[0].upper()}'"), (f"TFORM{i}", f"'{form}'")]
     body = rows.tobytes()
     content = primary + unit(cards) + body.ljust(-(-len(body) // 2880) * 2880, b"\0")
-    return gzip.compress(content) if zipped else content
+    return gzip.compress(content, compresslevel=1) if zipped else content
 
 
 def encode_archive(batch: pa.RecordBatch) -> bytes:
