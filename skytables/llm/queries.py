@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from skytables.llm.budgets import mix
+from skytables.llm.columns import text_of, words
+from skytables.llm.hilbert import hilbert_shards
 from skytables.llm.outliers import reject_outliers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +33,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op2_quality_outliers")
 def _quality_outliers(spark, sf_dir):
     return reject_outliers(_table(spark, sf_dir, "documents"), columns=["doc_id"])
+
+
+def corpus_tree() -> dict[str, Column]:
+    """The levels of the mixture: a domain is a family of sources, told by the number in a source's name."""
+    number = F.coalesce(F.regexp_extract("source", r"(\d+)$", 1).try_cast("int"), F.lit(0))
+    return {"domain": F.concat(F.lit("d"), (number % 3).cast("string")), "language": F.col("lang"), "origin": F.col("source")}
+
+
+def node_weights(spark: SparkSession) -> DataFrame:
+    """Target weights of the op4 query; nodes that are not named weigh 1."""
+    rows = "('d0', NULL, NULL, 4), ('d1', NULL, NULL, 3), ('d2', NULL, NULL, 2), ('d0', 'en', NULL, 3), ('d1', 'en', NULL, 3), ('d2', 'en', NULL, 5)"
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(domain, language, origin, weight)")
+
+
+@query("op4_source_mixture")
+def _source_mixture(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    budget = int(docs.select(F.sum(F.size(words(text_of("text"))))).first()[0] or 0)
+    out = mix(docs, levels=corpus_tree(), weights=node_weights(spark), budget=budget, max_epochs=2)
+    return out.select("_row.doc_id", "domain", "language", "origin", "n_tokens", "epoch")
+
+
+@query("op8_hilbert_shards")
+def _hilbert_shards(spark, sf_dir):
+    return hilbert_shards(_table(spark, sf_dir, "documents"), columns=["doc_id"])
