@@ -11,6 +11,7 @@ from skytables.llm.budgets import mix
 from skytables.llm.columns import text_of, words
 from skytables.llm.hilbert import hilbert_shards
 from skytables.llm.outliers import reject_outliers
+from skytables.llm.signature_join import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -58,3 +59,8 @@ def _source_mixture(spark, sf_dir):
 @query("op8_hilbert_shards")
 def _hilbert_shards(spark, sf_dir):
     return hilbert_shards(_table(spark, sf_dir, "documents"), columns=["doc_id"])
+
+
+@query("op10_near_duplicates")
+def _near_duplicates(spark, sf_dir):
+    return near_duplicates(_table(spark, sf_dir, "documents"))
