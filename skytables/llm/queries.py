@@ -12,6 +12,7 @@ from skytables.llm.columns import text_of, words
 from skytables.llm.hilbert import hilbert_shards
 from skytables.llm.outliers import reject_outliers
 from skytables.llm.signature_join import near_duplicates
+from skytables.llm.winnowing import contamination
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +65,37 @@ def _hilbert_shards(spark, sf_dir):
 @query("op10_near_duplicates")
 def _near_duplicates(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+_ALNUM_WORDS = """list_filter(string_split_regex(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"""
+
+
+@query(
+    "op7_winnowed_hits",
+    f"""
+WITH items AS (SELECT item_id, {_ALNUM_WORDS.format("text")} AS w FROM benchmark),
+spans AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS span
+    FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0
+),
+docs AS (SELECT doc_id, {_ALNUM_WORDS.format("text")} AS w FROM documents),
+places AS (
+    SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS span
+    FROM docs, (SELECT DISTINCT n FROM spans), unnest(range(1, len(w) - n + 2)) AS t(i)
+),
+hits AS (SELECT doc_id, i, n, item_id FROM places JOIN spans USING (n, span)),
+hit_words AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, i, n FROM hits), unnest(range(i, i + n)) AS t(p) GROUP BY doc_id
+),
+ids AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN ids USING (doc_id)
+""",
+)
+def _winnowed_hits(spark, sf_dir):
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
