@@ -12,6 +12,7 @@ from skytables.llm.columns import text_of, words
 from skytables.llm.hilbert import hilbert_shards
 from skytables.llm.outliers import reject_outliers
 from skytables.llm.signature_join import near_duplicates
+from skytables.llm.warc import archive_round_trip
 from skytables.llm.winnowing import contamination
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +100,18 @@ FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN ids USING (doc_id)
 )
 def _winnowed_hits(spark, sf_dir):
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op5_warc_index",
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+f AS (SELECT *, CASE WHEN strlen(html) >= 100 THEN min(page_id) OVER (PARTITION BY html) ELSE page_id END AS first FROM p)
+SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+""",
+)
+def _warc_index(spark, sf_dir):
+    return archive_round_trip(_table(spark, sf_dir, "pages"))
