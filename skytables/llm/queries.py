@@ -11,6 +11,7 @@ from skytables.llm.budgets import mix
 from skytables.llm.columns import text_of, words
 from skytables.llm.hilbert import hilbert_shards
 from skytables.llm.outliers import reject_outliers
+from skytables.llm.secrets import find_secrets
 from skytables.llm.signature_join import near_duplicates
 from skytables.llm.warc import archive_round_trip
 from skytables.llm.winnowing import contamination
@@ -115,3 +116,8 @@ FROM f
 )
 def _warc_index(spark, sf_dir):
     return archive_round_trip(_table(spark, sf_dir, "pages"))
+
+
+@query("op6_layered_secrets")
+def _layered_secrets(spark, sf_dir):
+    return find_secrets(_table(spark, sf_dir, "documents"))
