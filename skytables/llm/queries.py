@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skytables.llm.budgets import mix
 from skytables.llm.columns import text_of, words
 from skytables.llm.hilbert import hilbert_shards
+from skytables.llm.interpolation import interpolated_scores
 from skytables.llm.outliers import reject_outliers
 from skytables.llm.secrets import find_secrets
 from skytables.llm.signature_join import near_duplicates
@@ -121,3 +122,8 @@ def _warc_index(spark, sf_dir):
 @query("op6_layered_secrets")
 def _layered_secrets(spark, sf_dir):
     return find_secrets(_table(spark, sf_dir, "documents"))
+
+
+@query("op9_interpolated_scores")
+def _interpolated_scores(spark, sf_dir):
+    return interpolated_scores(_table(spark, sf_dir, "documents"))
