@@ -70,7 +70,7 @@ def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         return pd.Series(shared.value[slots.to_numpy()])
 
     near = texts.filter(F.col("node").isNotNull()).withColumn("slot", slot)
-    return materialise(near.filter(wanted("slot")).drop("slot").join(nodes, "node", "left_semi"))
+    return materialise(near.filter(wanted("slot")).drop("slot").join(nodes, "node", "left_semi").dropDuplicates(["node", "text"]))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, check: Check) -> DataFrame:

@@ -12,6 +12,7 @@ from skytables.llm.columns import text_of, words
 from skytables.llm.hilbert import hilbert_shards
 from skytables.llm.interpolation import interpolated_scores
 from skytables.llm.outliers import reject_outliers
+from skytables.llm.paragraphs import repeated_paragraphs
 from skytables.llm.secrets import find_secrets
 from skytables.llm.signature_join import near_duplicates
 from skytables.llm.warc import archive_round_trip
@@ -127,3 +128,8 @@ def _layered_secrets(spark, sf_dir):
 @query("op9_interpolated_scores")
 def _interpolated_scores(spark, sf_dir):
     return interpolated_scores(_table(spark, sf_dir, "documents"))
+
+
+@query("op3_repeated_paragraphs")
+def _repeated_paragraphs(spark, sf_dir):
+    return repeated_paragraphs(_table(spark, sf_dir, "documents"))
