@@ -15,6 +15,7 @@ from skytables.llm.outliers import reject_outliers
 from skytables.llm.paragraphs import repeated_paragraphs
 from skytables.llm.secrets import find_secrets
 from skytables.llm.signature_join import near_duplicates
+from skytables.llm.templates import extract_main_text
 from skytables.llm.warc import archive_round_trip
 from skytables.llm.winnowing import contamination
 
@@ -133,3 +134,8 @@ def _interpolated_scores(spark, sf_dir):
 @query("op3_repeated_paragraphs")
 def _repeated_paragraphs(spark, sf_dir):
     return repeated_paragraphs(_table(spark, sf_dir, "documents"))
+
+
+@query("op1_main_text")
+def _main_text(spark, sf_dir):
+    return extract_main_text(_table(spark, sf_dir, "pages"))
