@@ -7,11 +7,13 @@ nodes already share a component is skipped:
 1. every member against the key's least member;
 2. in keys that still hold several components, every member of another component against one more member, another for
    each key;
-3. in keys that still hold several components, all pairs across components.
+3. in keys that still hold several components, all pairs across components that could be linked.
 
-The last round leaves out nothing, so every link between candidates is found or implied; what it compares is what the
-first two could not settle. Each posting carries a 128-bit sketch, and pairs that differ in more than ``max_bits`` bits are
-dropped where they arise. Verified pairs are not verified again.
+For the last round, the sets of the nodes in question are counted: a member that no other of them has is in no intersection
+and in every union, so two nodes with many such members cannot reach the threshold. That bound is exact, and it settles the
+noisy copies of one text, which resemble each other but are no links, without comparing them one by one. No round leaves
+out a pair that could be a link. Each posting carries a 128-bit sketch, and pairs that differ in more than ``max_bits`` bits
+are dropped where they arise. Verified pairs are not verified again.
 """
 
 from __future__ import annotations
@@ -23,9 +25,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skytables.llm.shingles import overlap
 from skytables.session import materialise
 
 _FILTER_SLOTS = 1 << 20
+_EDGES_PER_TASK = 200_000
 Check = Callable[[list, list], list[bool]]
 
 
@@ -39,16 +43,17 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates two star steps until nothing changes: hang larger neighbours on the least neighbour, then smaller ones.
     """
     edges = materialise(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
+    tasks = 1 + edges.count() // _EDGES_PER_TASK
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        large = materialise(large)
+        large = materialise(large.coalesce(tasks))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = small.select(F.inline(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))))
-        edges = materialise(small.filter("a <> b").distinct())
+        edges = materialise(small.filter("a <> b").distinct().coalesce(tasks))
         found = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if found == state:
             break
@@ -89,37 +94,103 @@ def _verified(pairs: DataFrame, texts: DataFrame, check: Check) -> DataFrame:
     return materialise(rows.mapInPandas(run, f"a {kind}, b {kind}").distinct())
 
 
-def link(postings: DataFrame, texts: DataFrame, check: Check, max_bits: int, known: DataFrame | None = None) -> DataFrame:
+def _with_private(nodes: DataFrame, texts: DataFrame, sets_of: Callable[[list], list[np.ndarray]]) -> DataFrame:
+    """(node, size, private, one): the size of each node's set and how many of its members no other of the nodes has;
+    ``one`` is false for a key that several texts share, to which no bound applies."""
+    own = _texts_of(nodes.select(F.col("node").alias("a"), F.col("node").alias("b")), texts)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.iloc[at : at + 256]
+                sets = sets_of(part["text"].tolist())
+                yield pd.DataFrame(
+                    {
+                        "node": np.repeat(part["node"].to_numpy(), [len(s) for s in sets]),
+                        "item": np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64),
+                    }
+                )
+
+    kind = nodes.schema["node"].dataType.simpleString()
+    members = own.mapInPandas(run, f"node {kind}, item long")
+    held = members.groupBy("item").agg(F.min("node").alias("node"), F.max("node").alias("last"))
+    private = held.filter("node = last").groupBy("node").agg(F.count("*").alias("private"))
+    sizes = members.distinct().groupBy("node").agg(F.count("*").alias("size"))
+    sizes = sizes.join(own.groupBy("node").agg((F.count("*") == 1).alias("one")), "node")
+    return materialise(sizes.join(private, "node", "left").fillna(0, ["private"]))
+
+
+def link(
+    postings: DataFrame,
+    texts: DataFrame,
+    sets_of: Callable[[list], list[np.ndarray]],
+    percent: int,
+    max_bits: int,
+    known: DataFrame | None = None,
+) -> DataFrame:
     """(node, label) for every node linked with another. ``postings``: key, node, s0, s1; ``texts``: node, text; ``known``:
-    links (a, b) that need no check."""
+    links (a, b) that need no check. Nodes are linked if 100 * intersection >= percent * union of their texts' sets."""
+    check = _jaccard_check(sets_of, percent)
+    sizes = postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("key")
+    live = materialise(postings.join(sizes, "key"))
     member = F.struct("node", "s0", "s1")
-    sizes = postings.groupBy("key").agg(F.min(member).alias("c"), F.max("node").alias("last")).filter(F.col("c.node") != F.col("last"))
-    live = materialise(postings.join(sizes.drop("last"), "key"))
+    centres = live.groupBy("key").agg(F.min(member).alias("c"))
     near = _bits(F.col("c.s0"), F.col("c.s1"), F.col("s0"), F.col("s1")) <= max_bits
-    pairs = live.filter((F.col("node") != F.col("c.node")) & near).select(F.col("c.node").alias("a"), F.col("node").alias("b"))
-    tried = materialise(pairs.distinct())
+    pairs = live.join(centres, "key").filter((F.col("node") != F.col("c.node")) & near)
+    tried = materialise(pairs.select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct())
     links = _verified(tried, texts, check)
     if known is not None:
         links = links.unionByName(known.select("a", "b"))
-    for last in (False, True):
-        labels = components(links)
-        placed = live.drop("c").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        placed = materialise(placed)
-        mixed_keys = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-        placed = materialise(placed.join(mixed_keys, "key"))
-        if last:
-            other = placed.select("key", *[F.col(c).alias(f"_{c}") for c in ("node", "s0", "s1", "label")])
-            both = placed.join(
-                other,
-                (placed["key"] == other["key"])
-                & (F.col("label") < F.col("_label"))
-                & (_bits(F.col("s0"), F.col("s1"), F.col("_s0"), F.col("_s1")) <= max_bits),
-            ).select("node", F.col("_node").alias("other"))
-        else:
-            drawn = placed.groupBy("key").agg(F.min_by(F.struct("node", "s0", "s1", "label"), F.struct(F.xxhash64("key", "node"), "node")).alias("c"))
-            both = placed.join(drawn, "key").filter((F.col("label") != F.col("c.label")) & near).select("node", F.col("c.node").alias("other"))
-        new = both.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        new = materialise(new.join(tried, ["a", "b"], "left_anti"))
-        links = materialise(links.unionByName(_verified(new, texts, check)))
-        tried = tried.unionByName(new)
-    return components(links)
+
+    labels = components(links)
+    placed = _unsettled(live, labels)
+    drawn = placed.groupBy("key").agg(
+        F.min_by(F.struct("node", "s0", "s1", "label"), F.struct(F.xxhash64("key", "node"), "node")).alias("c")
+    )
+    both = placed.join(drawn, "key").filter((F.col("label") != F.col("c.label")) & near).select("node", F.col("c.node").alias("other"))
+    new = materialise(_ordered(both).join(tried, ["a", "b"], "left_anti"))
+    links = materialise(links.unionByName(_verified(new, texts, check)))
+    tried = tried.unionByName(new)
+
+    labels = components(links)
+    placed = _unsettled(live, labels)
+    left, right = placed.alias("x"), placed.alias("y")
+    apart = (F.col("x.key") == F.col("y.key")) & (
+        _bits(F.col("x.s0"), F.col("x.s1"), F.col("y.s0"), F.col("y.s1")) <= max_bits
+    )
+    nodes = materialise(left.join(right, apart & (F.col("x.label") != F.col("y.label")), "left_semi").select("node").distinct())
+    placed = materialise(placed.join(_with_private(nodes, texts, sets_of), "node"))
+    left, right = placed.alias("x"), placed.alias("y")
+    common = F.least(F.col("x.size") - F.col("x.private"), F.col("y.size") - F.col("y.private"))
+    union = F.greatest(F.col("x.size") + F.col("y.private"), F.col("y.size") + F.col("x.private"))
+    possible = (100 * common >= percent * union) | ~F.col("x.one") | ~F.col("y.one")
+    both = left.join(right, apart & (F.col("x.label") < F.col("y.label")) & possible)
+    new = _ordered(both.select(F.col("x.node").alias("node"), F.col("y.node").alias("other")))
+    new = materialise(new.join(tried, ["a", "b"], "left_anti"))
+    return components(links.unionByName(_verified(new, texts, check)))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def _unsettled(live: DataFrame, labels: DataFrame) -> DataFrame:
+    """The postings, with their labels, of keys that hold several components."""
+    placed = live.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    placed = materialise(placed.select("key", "node", "s0", "s1", "label"))
+    several = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
+    return materialise(placed.join(several, "key"))
+
+
+def _jaccard_check(sets_of: Callable[[list], list[np.ndarray]], percent: int) -> Check:
+    def check(left: list, right: list) -> list[bool]:
+        texts = list(dict.fromkeys(left + right))
+        sets = dict(zip(texts, sets_of(texts)))
+        out = []
+        for a, b in zip(left, right):
+            x, y = sets[a], sets[b]
+            common = overlap(x, y) if min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)) else 0
+            out.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
+        return out
+
+    return check

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from skytables.llm.linking import link
 from skytables.llm.shingles import digest, minhash, mixed, shingle_sets, word_hashes
-from skytables.llm.signature_join import COORDINATES, MAX_BITS, jaccard_check
+from skytables.llm.signature_join import COORDINATES, MAX_BITS
 from skytables.session import materialise
 
 SHINGLE = 5
@@ -129,7 +130,7 @@ def repeated_paragraphs(
         F.min(F.struct("doc", "para")).alias("first"), F.count("*").alias("n"), F.min("sketch").alias("sketch"), F.min("keys").alias("keys")
     )
     folds = materialise(folds.withColumn("node", F.conv(F.hex(F.substring("fp", 1, 8)), 16, -10).cast("long")))
-    labels = link(_postings(folds), _texts(docs, least_words), jaccard_check(SHINGLE, percent), MAX_BITS)
+    labels = link(_postings(folds), _texts(docs, least_words), partial(shingle_sets, size=SHINGLE), percent, MAX_BITS)
     grouped = folds.select("fp", "node", "first", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     grouped = materialise(grouped.select("fp", "label", "first", "n"))
     clusters = grouped.groupBy("label").agg(F.min("first").alias("first"), F.sum("n").alias("copies")).filter("copies > 1")

@@ -11,6 +11,7 @@ full sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from skytables.llm.columns import unused
 from skytables.llm.linking import link
-from skytables.llm.shingles import digest, minhash, mixed, overlap, shingle_sets
+from skytables.llm.shingles import digest, minhash, mixed, shingle_sets
 from skytables.session import materialise
 
 COORDINATES = 128
@@ -29,22 +30,6 @@ _LOAD_BITS = 16
 MAX_BITS = 30
 
 
-def jaccard_check(size: int, percent: int):
-    """Check of text pairs: 100 * intersection >= percent * union of their shingle sets."""
-
-    def check(left: list, right: list) -> list[bool]:
-        both = list(dict.fromkeys(left + right))
-        sets = dict(zip(both, shingle_sets(both, size)))
-        out = []
-        for a, b in zip(left, right):
-            x, y = sets[a], sets[b]
-            common = overlap(x, y) if min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)) else 0
-            out.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
-        return out
-
-    return check
-
-
 def _tokens(signature: np.ndarray) -> np.ndarray:
     """A hash for each (coordinate, value) pair of signatures, one row each."""
     place = np.arange(signature.shape[1], dtype=np.uint64) << np.uint64(32)
@@ -137,7 +122,7 @@ def near_duplicates(
     several = named.groupBy("doc").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo <> hi")
     same_key = materialise(named.join(several.select("doc"), "doc", "left_semi").select("doc", "fp"))
     known = same_key.join(folds, "fp").select(F.col("doc").alias("a"), F.col("rep").alias("b")).filter("a <> b")
-    labels = link(_postings(reps, matches), texts, jaccard_check(size, percent), MAX_BITS, known)
+    labels = link(_postings(reps, matches), texts, partial(shingle_sets, size=size), percent, MAX_BITS, known)
 
     found = folds.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     found = found.select("fp", F.coalesce("label", "rep").alias("component"))
