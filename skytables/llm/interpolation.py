@@ -14,9 +14,11 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +42,27 @@ def _unpack(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """The rows (block, key, fold, text) in compressed pieces, one for each block and batch, for a lighter shuffle."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for block, part in batch.groupby("block"):
+                table = pa.table({"key": pa.array(part["key"], pa.string(), from_pandas=True), "fold": part["fold"], "text": part["text"]})
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                    writer.write_table(table)
+                out.append((block, sink.getvalue().to_pybytes()))
+            yield pd.DataFrame(out, columns=["block", "docs"])
+
+    return rows.select("block", "key", "fold", "text").mapInPandas(run, "block long, docs binary")
+
+
+def _unpacked(pieces: pd.DataFrame) -> pd.DataFrame:
+    return pa.concat_tables([pa.ipc.open_stream(d).read_all() for d in pieces["docs"]]).to_pandas()
+
+
 def _tokens(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token hashes (words, then one end), the token before each, and the number of tokens of each text."""
     words, ends = word_hashes(texts)
@@ -60,11 +83,12 @@ def _pairs(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return mixed(before * np.uint64(0x9E3779B97F4A7C15) + mixed(tokens))
 
 
-def _requests(block: pd.DataFrame, parts: int) -> pd.DataFrame:
-    """The block's distinct keys with their training and deleted counts, by kind (0: token, 1: pair) and part."""
+def _requests(pieces: pd.DataFrame, parts: int) -> pd.DataFrame:
+    """A block's distinct keys with their training and deleted counts, by kind (0: token, 1: pair) and part."""
+    block = _unpacked(pieces)
     tokens, before, lengths = _tokens(block["text"].tolist())
     fold = np.repeat(block["fold"].to_numpy(), lengths)
-    name, out = int(block["block"].iloc[0]), []
+    name, out = int(pieces["block"].iloc[0]), []
     for kind, keys in enumerate((tokens, _pairs(before, tokens))):
         distinct, place = np.unique(keys, return_inverse=True)
         trained = np.bincount(place, fold != HELD_OUT, len(distinct)).astype(np.uint32)
@@ -165,7 +189,7 @@ def interpolated_scores(
     """
     fold = (F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % FOLDS).cast("int")
     kind = documents.schema[key].dataType.simpleString()
-    rows = documents.select(F.col(key).alias("key"), text_of(text).alias("text"), fold.alias("fold"))
+    rows = documents.select(F.col(key).cast("string").alias("key"), text_of(text).alias("text"), fold.alias("fold"))
     train, dropped = F.col("fold") != HELD_OUT, F.col("fold") == DELETED
     size, trained_docs, deleted_docs = rows.agg(F.sum(F.octet_length("text") + 1), F.count_if(train), F.count_if(dropped)).first()
     size = size or 0
@@ -175,8 +199,8 @@ def interpolated_scores(
     block = F.when(dropped, F.pmod(place, F.lit(small))).otherwise(F.lit(small) + F.pmod(place, F.lit(blocks)))
     rows = rows.withColumn("block", block)
 
-    asked = rows.select("block", "fold", "text").groupBy("block").applyInPandas(
-        lambda block: _requests(block, blocks), "part int, kind int, block long, keys binary, trained binary, deleted binary"
+    asked = _packed(rows).groupBy("block").applyInPandas(
+        lambda pieces: _requests(pieces, blocks), "part int, kind int, block long, keys binary, trained binary, deleted binary"
     )
     answers = materialise(
         asked.groupBy("part", "kind").applyInPandas(
@@ -188,24 +212,25 @@ def interpolated_scores(
     v, n, n_deleted = (x or 0 for x in totals)
     answers = answers.filter("block >= 0").select("block", "kind", "part", "trained", "deleted")
 
-    def events(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        if docs.empty:
+    def events(pieces: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        if pieces.empty:
             return pd.DataFrame([], columns=["class", "q2", "q1", "n", "f2", "f1"])
-        counts = _Counts(docs, answers, trained_docs, deleted_docs, True)
+        counts = _Counts(_unpacked(pieces), answers, trained_docs, deleted_docs, True)
         f2, f1 = counts.estimates(n - n_deleted)
         each = pd.DataFrame({"class": counts.classes(), "q2": _grade(f2), "q1": _grade(f1), "n": 1, "f2": f2, "f1": f1})
         return each.groupby(["class", "q2", "q1"], as_index=False).sum()
 
-    deleted = rows.filter(dropped).select("block", "text").groupBy("block").cogroup(answers.filter(F.col("block") < small).groupBy("block"))
+    deleted = _packed(rows.filter(dropped)).groupBy("block").cogroup(answers.filter(F.col("block") < small).groupBy("block"))
     cells = deleted.applyInPandas(events, "class int, q2 int, q1 int, n long, f2 double, f1 double").groupBy("class", "q2", "q1")
     cells = cells.agg(F.sum("n").alias("n"), F.sum("f2").alias("f2"), F.sum("f1").alias("f1")).toPandas()
     cells[["f2", "f1"]] = cells[["f2", "f1"]].div(cells["n"], axis=0)
     weights = learn_weights(cells.sort_values(["class", "q2", "q1"]), 1 / (v + 1))
 
-    def scores(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    def scores(pieces: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         names = ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-        if docs.empty:
+        if pieces.empty:
             return pd.DataFrame([], columns=names)
+        docs = _unpacked(pieces)
         counts = _Counts(docs, answers, trained_docs, deleted_docs, False)
         first = np.cumsum(counts.lengths) - counts.lengths
         base = np.log10((counts.token + 0.1) / (n + 0.1 * (v + 1)))
@@ -223,7 +248,7 @@ def interpolated_scores(
         ]
         return pd.DataFrame(dict(zip(names, out)))
 
-    scored = rows.select("block", "key", "fold", "text").groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
-        scores, f"key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    scored = _packed(rows).groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
+        scores, "key string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
-    return scored.withColumnRenamed("key", key)
+    return scored.withColumn("key", F.col("key").cast(kind)).withColumnRenamed("key", key)

@@ -224,8 +224,8 @@ def find_secrets(documents: DataFrame, *, key: str = "doc_id", text: str = "text
             yield made
 
     kind = documents.schema[key].dataType.simpleString()
-    rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = documents.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
     found = rows.mapInPandas(
-        run, f"key {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layers long, n_cut long"
+        run, "key string, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layers long, n_cut long"
     )
-    return found.withColumnRenamed("key", key)
+    return found.withColumn("key", F.col("key").cast(kind)).withColumnRenamed("key", key)

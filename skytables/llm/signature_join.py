@@ -57,8 +57,10 @@ def sets_and_signatures(documents: DataFrame, key: str, text: str, size: int) ->
                     }
                 )
 
-    rows = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, "doc long, n_shingles long, fp binary, sig binary")
+    # As text, since pandas would turn numbers beside NULLs to floats.
+    rows = documents.select(F.col(key).cast("long").cast("string").alias("doc"), F.col(text).alias("text"))
+    found = rows.mapInPandas(run, "doc string, n_shingles long, fp binary, sig binary")
+    return found.withColumn("doc", F.col("doc").cast("long"))
 
 
 def _list_loads(reps: DataFrame) -> np.ndarray:
