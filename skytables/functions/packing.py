@@ -30,11 +30,19 @@ def pack_flags(high, low) -> Column:
 
 
 def explode_bands(df: DataFrame, columns: list[str], bands: tuple[str, ...] = BANDS) -> DataFrame:
-    """Each listed vector column becomes one column per band, in place."""
+    """Each listed vector column becomes one column per band, in place.
+
+    A vector with another number of elements fails the job; a NULL vector gives NULLs.
+    """
     out = []
     for name in df.columns:
         if name in columns:
-            out += [F.get(F.col(name), F.lit(i)).alias(f"{name}_{band}") for i, band in enumerate(bands)]
+            size = F.size(name).cast("string")
+            wrong = F.raise_error(F.concat(F.lit(f"{name} should have {len(bands)} elements, not "), size))
+            vector = F.when(F.col(name).isNull() | (F.size(name) == len(bands)), F.col(name)).otherwise(
+                wrong.cast(df.schema[name].dataType)
+            )
+            out += [F.get(vector, F.lit(i)).alias(f"{name}_{band}") for i, band in enumerate(bands)]
         else:
             out.append(F.col(name))
     return df.select(*out)

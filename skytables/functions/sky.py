@@ -48,18 +48,28 @@ def bins_in_zone(zone, level: int) -> Column:
     return F.greatest(F.lit(1), F.floor(360.0 * level * F.cos(F.radians(nearest_to_equator))))
 
 
+def has_position(ra, dec) -> Column:
+    """Both coordinates are there, neither is NaN or infinite, and the declination exists on the sphere."""
+    ra, dec = _col(ra), _col(dec)
+    whole = F.coalesce(F.abs(ra) < float("inf"), F.lit(False)) & F.coalesce(F.abs(dec) <= 90.0, F.lit(False))
+    return whole & ~F.isnan(ra.cast("double")) & ~F.isnan(dec.cast("double"))
+
+
 def sky_cell(ra, dec, level: int = FINE) -> Column:
-    """Integer sky cell of a position in degrees; NULL without a position."""
+    """Integer sky cell of a position in degrees; NULL without a usable position."""
     zone = zone_of(dec, level)
     bins = bins_in_zone(zone, level)
     cell = zone * ZONE_STRIDE + F.least(F.floor(normalize_ra(ra) / 360.0 * bins), bins - 1)
-    return F.when(_col(ra).isNotNull() & _col(dec).isNotNull(), cell)
+    return F.when(has_position(ra, dec), cell)
 
 
 def with_neighbour_cells(
     df: DataFrame, radius_deg: float, level: int, ra: str = "ra", dec: str = "dec", out: str = "cell"
 ) -> DataFrame:
-    """One row per cell that can hold a point within ``radius_deg`` of the row's position, each cell once."""
+    """One row per cell that can hold a point within ``radius_deg`` of the row's position, each cell once.
+
+    Rows without a usable position have no cells.
+    """
     r = radius_deg + _PAD
     low, high = F.col(dec) - r, F.col(dec) + r
     polar = F.abs(F.col(dec)) + r >= 90.0
@@ -75,7 +85,7 @@ def with_neighbour_cells(
     last = F.floor((ra_n + F.col("_half")) / 360.0 * F.col("_bins"))
     whole = F.col("_polar") | (last - first + 1 >= F.col("_bins"))
     return (
-        df.where(F.col(ra).isNotNull() & F.col(dec).isNotNull())
+        df.where(has_position(ra, dec))
         .withColumns({"_polar": polar, "_half": half_width, "_zone": F.explode(zones)})
         .withColumn("_bins", bins_in_zone("_zone", level))
         .withColumn(

@@ -89,10 +89,12 @@ def observations_view(olc: DataFrame) -> DataFrame:
     return array_join(renamed, arrays).withColumn("catflags", F.lit(0))
 
 
-def create_observations_view(spark, olc_table: str, view: str) -> None:
-    """Persistent view of :func:`observations_view` over a stored light-curve table; an existing view is kept."""
+def create_observations_view(spark, olc_table: str, view: str, replace: bool = False) -> None:
+    """Persistent view of :func:`observations_view` over a stored light-curve table; an existing view is kept unless
+    ``replace`` is set."""
+    create = "CREATE OR REPLACE VIEW" if replace else "CREATE VIEW IF NOT EXISTS"
     spark.sql(
-        f"""CREATE VIEW IF NOT EXISTS {view} AS
+        f"""{create} {view} AS
         SELECT oid, nobs_w_bad AS nobs, band, fieldid, rcid, ra, dec, cell,
                epoch.mjd, epoch.mag, epoch.magerr, epoch.clrcoeff, 0 AS catflags
         FROM {olc_table} LATERAL VIEW explode(arrays_zip(mjd, mag, magerr, clrcoeff)) AS epoch"""

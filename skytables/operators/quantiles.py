@@ -1,15 +1,17 @@
-"""Quantiles and the slices made from them."""
+"""Quantiles, by sketch or exact, and slices of a job by key."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skytables.operators.filters import oid_range
+from skytables.operators.filters import in_range
+from skytables.session import materialise
+
+_BUCKETS = 256
 
 
 def quantiles(
@@ -18,27 +20,73 @@ def quantiles(
     """Quantiles of a column, per group with ``by``: one array column ``quantiles`` in the order of ``levels``.
 
     The sketch merges map-side partial results, so neither a group nor the table is gathered in one place. Rank error
-    is at most count / accuracy; the values are elements of the column.
+    is at most count / accuracy; the values are elements of the column. For exact ones see :func:`exact_quantiles`.
     """
     summary = F.percentile_approx(column, [float(q) for q in levels], accuracy).alias("quantiles")
     return df.groupBy(*(by or [])).agg(summary)
 
 
+def exact_quantiles(df: DataFrame, column: str, levels: list[float], by: list[str] | None = None) -> DataFrame:
+    """As :func:`quantiles`, but the smallest value with at least the level's share of the rows at or below it.
+
+    Equal values are counted together first. A sketch cuts each group in buckets, bucket counts tell which of them holds a
+    level's rank, and only those are put in order. NULL values do not count; groups without values are left out.
+    """
+    keys = by or ["_all"]
+    if not by:
+        df = df.withColumn("_all", F.lit(0))
+    values = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("_v")).agg(F.count("*").alias("_n"))
+    values = materialise(values)
+    cuts = [i / _BUCKETS for i in range(1, _BUCKETS)]
+    edges = values.groupBy(*keys).agg(F.percentile_approx("_v", cuts, 10_000).alias("_edges"), F.sum("_n").alias("_total"))
+    edges = materialise(edges)
+    bucket = F.size(F.filter("_edges", lambda e: e < F.col("_v"))).alias("_bucket")
+    placed = materialise(values.join(edges, keys).select(*keys, bucket, "_v", "_n", "_total"))
+
+    sizes = placed.groupBy(*keys, "_total", "_bucket").agg(F.sum("_n").alias("_rows"))
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    level = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(levels)]))
+    ranks = sizes.select("*", level.alias("_l"))
+    # Written with floor, since q * n may round to just above a whole number.
+    rank = F.greatest(F.col("_total") - F.floor(F.col("_total") - F.col("_l.q") * F.col("_total")), F.lit(1))
+    ranks = ranks.withColumn("_rank", rank - F.col("_before")).where("_rank BETWEEN 1 AND _rows")
+    inside = placed.join(ranks.select(*keys, "_bucket").distinct(), [*keys, "_bucket"])
+    upto = Window.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    inside = inside.select(*keys, "_bucket", "_v", F.sum("_n").over(upto).alias("_upto"))
+    hits = inside.join(ranks.select(*keys, "_bucket", "_l.i", "_rank"), [*keys, "_bucket"]).where(F.col("_upto") >= F.col("_rank"))
+    chosen = hits.groupBy(*keys, "i").agg(F.min("_v").alias("v"))
+    ordered = F.sort_array(F.collect_list(F.struct("i", "v")))
+    return chosen.groupBy(*keys).agg(F.transform(ordered, lambda x: x["v"]).alias("quantiles")).drop("_all")
+
+
 def check_monotonic(edges: list) -> None:
-    if any(b <= a for a, b in zip(edges, edges[1:])):
-        raise ValueError(f"quantiles must be strictly increasing: {edges}")
+    flat = [i for i in range(1, len(edges)) if not edges[i - 1] < edges[i]]
+    if flat:
+        raise ValueError(f"slice edges are not increasing at {flat}: {edges}; use fewer slices")
 
 
-def quantile_grid(df: DataFrame, column: str, parts: int, accuracy: int = 10_000) -> list:
-    """``parts + 1`` slice edges: the interior quantiles between minus and plus infinity."""
+def quantile_grid(df: DataFrame, column: str, parts: int, exact: bool = False, accuracy: int = 10_000) -> list:
+    """Edges of ``parts`` slices with near equal rows, open at both ends."""
     if parts < 1:
-        raise ValueError(f"parts should be positive, not {parts}")
-    if parts == 1:
-        return [-math.inf, math.inf]
-    levels = [i / parts for i in range(1, parts)]
-    interior = list(quantiles(df, column, levels, accuracy=accuracy).first()["quantiles"] or [])
-    check_monotonic(interior)
-    return [-math.inf, *interior, math.inf]
+        raise ValueError(f"the number of slices should be positive: {parts}")
+    inner: list = []
+    if parts > 1:
+        shares = [k / parts for k in range(1, parts)]
+        summary = exact_quantiles(df, column, shares) if exact else quantiles(df, column, shares, accuracy=accuracy)
+        row = summary.first()
+        inner = (row and row["quantiles"]) or []
+        check_monotonic(inner)
+    return [-math.inf, *inner, math.inf]
+
+
+def slice_of(df: DataFrame, column: str, parts: int, number: int) -> DataFrame:
+    """Rows of one key slice; rows without a key are in the first."""
+    if not 0 <= number < parts:
+        raise ValueError(f"slice {number} is not one of {parts}")
+    edges = quantile_grid(df, column, parts)
+    mine = in_range(column, edges[number], edges[number + 1])
+    return df.where(mine | F.col(column).isNull() if number == 0 else mine)
 
 
 def partitioned_run(
@@ -48,13 +96,9 @@ def partitioned_run(
     parts: int = 1,
     interval: int | str = "all",
 ) -> DataFrame:
-    """Run ``job`` on key slices of ``df``: all of them, or the one numbered ``interval``.
+    """Run ``job`` on one key slice of ``df``, or once on all of it.
 
     For rerunning a part of a large job; Spark's own partitioning already bounds memory. ``job`` must treat rows with
-    different keys on their own, so the union of the slices equals the unsliced result.
+    different keys on their own, so that its results over all slices add up to the whole.
     """
-    grid = quantile_grid(df, column, parts)
-    slices = list(zip(grid, grid[1:]))
-    if interval != "all":
-        slices = [slices[interval]]
-    return reduce(DataFrame.unionByName, (job(oid_range(df, lo, hi, column)) for lo, hi in slices))
+    return job(df if interval == "all" else slice_of(df, column, parts, interval))

@@ -63,17 +63,26 @@ CATALOGUES = {
 
 
 def load_catalogue(
-    spark: SparkSession, name: str, path: str, table: str, on_exists: str = "fail", verify: bool = False, **reader
+    spark: SparkSession,
+    name: str,
+    path: str,
+    table: str,
+    on_exists: str = "fail",
+    verify: bool = True,
+    control_sums: dict | None = None,
+    **reader,
 ) -> DataFrame:
     """Read, extend and store a catalogue. ``reader`` goes to its reader (``schema`` for ``gaia``, ``des``, ``sdss``).
 
-    With ``verify`` the stored table is held against its published control sums, and a difference raises.
+    The stored table is held against its control sums, the published ones unless others are given (for a part of the
+    catalogue), and a difference raises. ``verify=False`` leaves that out.
     """
     if name not in CATALOGUES:
         raise ValueError(f"unknown catalogue {name!r}; known: {sorted(CATALOGUES)}")
     catalogue = CATALOGUES[name]
     rows = catalogue.prepare(catalogue.read(spark, path, **reader))
-    return _store(spark, rows, table, on_exists, catalogue.sort_by, catalogue.control_sums if verify else None)
+    sums = (control_sums or catalogue.control_sums) if verify else None
+    return _store(spark, rows, table, on_exists, catalogue.sort_by, sums)
 
 
 def load_fixed_width(

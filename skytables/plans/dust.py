@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 from skytables.functions.extinction import extinction_columns
 from skytables.functions.sky import COARSE
-from skytables.operators.grid import sky_grid
+from skytables.operators.grid import cell_centre
 from skytables.sources.tables import create_database, write_table
 
 
 def dust_grid(spark: SparkSession, values: DataFrame, level: int = COARSE) -> DataFrame:
-    """(cell, ra, dec, eb_v) for each cell of the sphere that ``values`` (cell, eb_v; one row per cell) covers."""
-    return sky_grid(spark, level).join(values.select("cell", F.col("eb_v").cast("float").alias("eb_v")), "cell")
+    """(cell, ra, dec, eb_v) for each cell of the sphere that ``values`` (cell, eb_v; one row per cell) covers.
+
+    A cell's centre follows from its id, so this is a projection; ids that are no cell of the level are left out.
+    """
+    ra, dec, exists = cell_centre("cell", level)
+    return values.where(exists).select("cell", ra.alias("ra"), dec.alias("dec"), F.col("eb_v").cast("float").alias("eb_v"))
 
 
 def dust_table(

@@ -9,13 +9,16 @@ from pyspark.sql import types as T
 from skytables.functions.time import mid_exposure_helio, to_mjd
 from skytables.operators.exposures import clean_exposures, exposures_by_quadrant, exposures_per_field
 from skytables.operators.quality import check_nullability
-from skytables.schemas import EXPOSURES
+from skytables.schemas import EXPOSURE_BANDS, EXPOSURES
 from skytables.sources.tables import create_database, write_table
 
 
 def exposures(raw: DataFrame, centres: DataFrame, schema: T.StructType = EXPOSURES) -> DataFrame:
-    """One row per exposure and quadrant with its start and heliocentric mid time."""
+    """One row per exposure and quadrant with its start and heliocentric mid time; an unknown band fails the job."""
     cleaned = clean_exposures(raw, schema, include=schema.names, exclude=["ra", "dec"])
+    known = F.col("band").isNull() | F.col("band").isin(*EXPOSURE_BANDS)
+    unknown = F.raise_error(F.concat(F.lit("unknown band "), F.col("band"))).cast("string")
+    cleaned = cleaned.withColumn("band", F.when(known, F.col("band")).otherwise(unknown))
     placed = exposures_by_quadrant(cleaned, centres)
     start = to_mjd("obsdate")
     return placed.withColumn("expstart_mjd", start).withColumn(

@@ -15,11 +15,17 @@ def parse_manifest(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def hash_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(filename, md5) of the files below ``path``, computed where they are read."""
+    """(filename, md5) of the files below the folder ``path``, computed where they are read.
+
+    The name is the path below the folder, so files of one name in two subfolders stay apart.
+    """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
     )
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("filename"), F.md5("content").alias("md5"))
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(root).toString()
+    below = F.substring("path", len(root.rstrip("/")) + 2, 1 << 30)
+    return files.select(below.alias("filename"), F.md5("content").alias("md5"))
 
 
 def verify_manifest(files: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,9 +57,27 @@ def ecsv_schema(spark: SparkSession, path: str, glob: str = "*.csv*") -> T.Struc
     return T.StructType(fields)
 
 
-def read_ecsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """ECSV such as Gaia source files: comment preamble, header row, quotes, ``True``/``False``, ``null``."""
-    return _reader(spark, schema, comment="#", header=True, nullValue="null", enforceSchema=True).csv(path)
+def read_ecsv(spark: SparkSession, path: str, schema: T.StructType, by_name: bool = False) -> DataFrame:
+    """ECSV such as Gaia source files: comment preamble, header row, quotes, ``True``/``False``, ``null``.
+
+    A file whose header row differs from the schema fails the job. With ``by_name``, files may hold the columns in any
+    order: the header rows are found by one scan for lines made of the column names, and files with equal headers are
+    read together, each with its own order.
+    """
+    options = {"comment": "#", "header": True, "nullValue": "null", "enforceSchema": False}
+    if not by_name:
+        return _reader(spark, schema, **options).csv(path)
+    names = F.split(F.regexp_replace("value", r"[\s\"]", ""), ",")
+    known = F.array(*map(F.lit, sorted(schema.names)))
+    headers = spark.read.text(path).select(names.alias("names"), F.col("_metadata.file_path").alias("file"))
+    found = headers.where(F.sort_array("names") == known).groupBy("names").agg(F.collect_set("file").alias("files"))
+    parts = []
+    for row in found.collect():  # one row per order of columns; the file names are what a reader lists anyway
+        ordered = T.StructType([schema[n] for n in row["names"]])
+        parts.append(_reader(spark, ordered, **options).csv(sorted(row["files"])).select(*schema.names))
+    if not parts:
+        raise ValueError(f"no header with the columns {schema.names} below {path}")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_psc(spark: SparkSession, path: str) -> DataFrame:

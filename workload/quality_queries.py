@@ -15,7 +15,7 @@ from skytables.operators.quality import (
     violations_length,
     violations_order,
 )
-from skytables.operators.quantiles import quantile_grid, quantiles
+from skytables.operators.quantiles import exact_quantiles, quantile_grid, quantiles
 from skytables.plans.exposures import exposure_tables, exposures
 from skytables.schemas import EXPOSURES
 from skytables.session import shared_dir
@@ -24,7 +24,7 @@ from skytables.sources.tables import clustered, write_table
 from skytables.streaming.ingest import ingest_stream
 from workload.lightcurve_queries import _database
 from workload.registry import query
-from workload.staging import stage_csv
+from workload.staging import stage_csv, stage_files
 from workload.views import OBS_SQL, RAW_OBS_SQL, d, meta, META_SQL, obs, olc, table
 
 _OBS_COLUMNS = "oid, nobs, band, fieldid, rcid, ra, dec, cell, mjd, mag, magerr, clrcoeff, catflags"
@@ -257,7 +257,6 @@ def _(spark, sf):
 # --- quantiles -----------------------------------------------------------------------------------------------------------
 
 _LEVELS = [0.1, 0.25, 0.5, 0.75, 0.9]
-_EXACT = 10_000_000  # accuracy beyond the row count of the test tables, where the sketch keeps every value
 
 
 def _unpacked(df: DataFrame, *keys: str) -> DataFrame:
@@ -270,15 +269,35 @@ def _quantile_sql(column: str) -> str:
 
 @query("quantiles", f"WITH {META_SQL} SELECT {_quantile_sql('oid')} FROM meta")
 def _(spark, sf):
-    return _unpacked(quantiles(meta(spark, sf), "oid", _LEVELS, accuracy=_EXACT))
+    return _unpacked(exact_quantiles(meta(spark, sf), "oid", _LEVELS))
 
 
 @query("quantiles_by_group", f"WITH {OBS_SQL} SELECT fieldid, band, {_quantile_sql('mjd')} FROM obs GROUP BY fieldid, band")
 def _(spark, sf):
-    grouped = quantiles(obs(spark, sf), "mjd", _LEVELS, by=["fieldid", "band"], accuracy=_EXACT)
+    grouped = exact_quantiles(obs(spark, sf), "mjd", _LEVELS, by=["fieldid", "band"])
     return _unpacked(grouped, "fieldid", "band")
 
 
+_SKETCH_ACCURACY = 10_000
+
+
+@query(
+    "quantiles_rank_error",
+    f"""WITH {OBS_SQL} SELECT fieldid, band, count(*) AS epochs, true AS within FROM obs GROUP BY fieldid, band""",
+)
+def _(spark, sf):
+    """The default sketch: the rank of every quantile lies within count / accuracy of the level's."""
+    epochs = obs(spark, sf)
+    found = quantiles(epochs, "mjd", _LEVELS, by=["fieldid", "band"], accuracy=_SKETCH_ACCURACY)
+    rows = epochs.select("fieldid", "band", "mjd").join(found, ["fieldid", "band"])
+    n, within = F.count("*"), F.lit(True)
+    for i, q in enumerate(_LEVELS):
+        value = F.get("quantiles", F.lit(i))
+        slack = n / _SKETCH_ACCURACY + 1
+        within = within & (F.count_if(F.col("mjd") < value) <= q * n + slack) & (F.count_if(F.col("mjd") <= value) >= q * n - slack)
+    return rows.groupBy("fieldid", "band").agg(n.alias("epochs"), within.alias("within"))
+
+
 @query(
     "quantile_grid",
     f"""WITH {META_SQL}, edges AS (SELECT quantile_disc(oid, 0.25) AS a, quantile_disc(oid, 0.5) AS b,
@@ -288,7 +307,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     objects = meta(spark, sf)
-    grid = quantile_grid(objects, "oid", 4, accuracy=_EXACT)
+    grid = quantile_grid(objects, "oid", 4, exact=True)
     slice_no = F.lit(0)
     for edge in grid[1:-1]:
         slice_no = slice_no + (F.col("oid") >= edge).cast("int")
@@ -322,17 +341,19 @@ def _(spark, sf):
     return verify_manifest(files, parse_manifest(lines))
 
 
-@query("hash_files", f"WITH {OBS_SQL} SELECT fieldid, 'ok' AS status, count(*) AS epochs FROM obs GROUP BY fieldid")
+@query(
+    "hash_files",
+    """SELECT 'lang_' || coalesce(lang, 'none') || '/doc_' || doc_id || '.txt' AS filename, md5(text) AS md5,
+      CASE WHEN lang = 'de' THEN 'mismatch' ELSE 'ok' END AS status FROM documents""",
+)
 def _(spark, sf):
-    """Files of a load against the manifest made from their own content: every epoch lies in a sound file."""
-    path = shared_dir(spark)
-    obs(spark, sf).select("fieldid", "oid", "mjd", "mag").write.parquet(path)
-    files = hash_files(spark, path, "*.parquet")
-    manifest = parse_manifest(files.select(F.concat_ws("  ", "md5", "filename").alias("value")))
-    epochs = spark.read.parquet(path).select("fieldid", F.col("_metadata.file_name").alias("filename"))
-    per_file = epochs.groupBy("filename", "fieldid").agg(F.count("*").alias("n"))
-    audited = per_file.join(verify_manifest(files, manifest), "filename", "left")
-    return audited.groupBy("fieldid", "status").agg(F.sum("n").alias("epochs"))
+    """Every document as a file of a folder of its language, against checksums of the texts; German ones were altered."""
+    documents = table(spark, sf, "documents")
+    name = F.concat(F.lit("lang_"), F.coalesce("lang", F.lit("none")), F.lit("/doc_"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    files = hash_files(spark, stage_files(documents.select(name.alias("name"), "text")), "*.txt")
+    listed = F.when(F.col("lang") == "de", F.md5(F.concat("text", F.lit("!")))).otherwise(F.md5("text"))
+    manifest = parse_manifest(documents.select(F.concat_ws("  ", listed, name).alias("value")))
+    return verify_manifest(files, manifest).select("filename", "md5", "status")
 
 
 @query(

@@ -83,9 +83,41 @@ def _(spark, sf):
     )
 
 
-@query("neighbour_cells")
-def _(spark, sf):
-    return with_neighbour_cells(meta(spark, sf).select("oid", "ra", "dec"), RADIUS / 3600, FINE)
+_EDGE_RA, _EDGE_DEC = 359.99999, 89.99999
+
+
+def _neighbour_sql() -> str:
+    reach = f"({RADIUS / 3600!r}::DOUBLE + 1e-9::DOUBLE)"
+    bins = (
+        f"greatest(1, floor({360.0 * FINE}::DOUBLE * cos(radians(CASE WHEN zone >= {90 * FINE} THEN zone / {FINE}::DOUBLE - 90.0::DOUBLE "
+        f"ELSE 90.0::DOUBLE - (zone + 1) / {FINE}::DOUBLE END)))::BIGINT)"
+    )
+    return f"""WITH {META_SQL},
+    o AS (SELECT oid, ra, dec FROM meta UNION ALL SELECT s_suppkey, (s_suppkey % 2) * {_EDGE_RA}::DOUBLE,
+      CASE s_suppkey % 3 WHEN 0 THEN {_EDGE_DEC}::DOUBLE WHEN 1 THEN -{_EDGE_DEC}::DOUBLE ELSE 10.0::DOUBLE END FROM supplier),
+    z AS (SELECT *, dec - {reach} AS low, dec + {reach} AS high FROM o),
+    zones AS (SELECT *, unnest(range(greatest(floor((low + 90.0::DOUBLE) * {FINE})::BIGINT, 0),
+      least(floor((high + 90.0::DOUBLE) * {FINE})::BIGINT, {180 * FINE - 1}) + 1)) AS zone FROM z),
+    b AS (SELECT *, {bins} AS bins, degrees(atan2(sin(radians({reach})),
+      sqrt(greatest(cos(radians(low)) * cos(radians(high)), 0.0::DOUBLE)))) AS half FROM zones),
+    e AS (SELECT *, floor((ra - half) / 360.0::DOUBLE * bins)::BIGINT AS first,
+      floor((ra + half) / 360.0::DOUBLE * bins)::BIGINT AS last FROM b),
+    w AS (SELECT *, abs(dec) + {reach} >= 90.0 OR last - first + 1 >= bins AS whole FROM e),
+    k AS (SELECT *, unnest(range(CASE WHEN whole THEN 0 ELSE first END, CASE WHEN whole THEN bins ELSE last + 1 END)) AS bin FROM w)
+    SELECT oid, ra, dec, zone * 4294967296 + ((bin % bins) + bins) % bins AS cell FROM k"""
+
+
+@query("neighbour_cells", _neighbour_sql())
+def _(spark, sf):
+    """Cells around all objects, and around suppliers placed at the poles and on both sides of right ascension 0."""
+    key = F.col("s_suppkey")
+    edge = table(spark, sf, "supplier").select(
+        key.alias("oid"),
+        ((key % 2) * d(_EDGE_RA)).alias("ra"),
+        F.when(key % 3 == 0, d(_EDGE_DEC)).when(key % 3 == 1, d(-_EDGE_DEC)).otherwise(d(10)).alias("dec"),
+    )
+    objects = meta(spark, sf).select("oid", "ra", "dec").unionByName(edge)
+    return with_neighbour_cells(objects, RADIUS / 3600, FINE)
 
 
 @query(

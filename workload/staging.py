@@ -45,6 +45,24 @@ def stage_encoded(df: DataFrame, name: str, encode: Callable[[pa.RecordBatch], b
     return folder
 
 
+def _write_rows(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    filesystem, base = pa.fs.FileSystem.from_uri(folder)
+    for batch in batches:
+        for name, text in zip(*(c.to_pylist() for c in batch.columns)):
+            filesystem.create_dir(f"{base}/{name}".rpartition("/")[0], recursive=True)
+            with filesystem.open_output_stream(f"{base}/{name}", compression=None) as out:
+                out.write(text.encode())
+        yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], names=["rows"])
+
+
+def stage_files(df: DataFrame) -> str:
+    """One file per row (name, text); names may have folders."""
+    folder = shared_dir(df.sparkSession)
+    uri = folder if "://" in folder else folder.removeprefix("file:")
+    df.mapInArrow(partial(_write_rows, folder=uri), "rows BIGINT").write.format("noop").mode("overwrite").save()
+    return folder
+
+
 def encode_records(batch: pa.RecordBatch) -> bytes:
     """Little-endian Float64 records."""
     columns = [c.to_numpy(zero_copy_only=False).astype("<f8") for c in batch.columns]
