@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skytables.operators.filters import in_range
 from skytables.operators.lightcurve import (
     build_olc,
     create_observations_view,
@@ -25,13 +26,19 @@ def lightcurve_tables(
     on_exists: str = "fail",
     fields: tuple[int | None, int | None] | None = None,
 ) -> dict[str, str]:
-    """Raw Parquet to the light-curve table, its observations view and the object metadata; returns their names."""
+    """Raw Parquet to the light-curve table, its observations view and the object metadata; returns their names.
+
+    With ``on_exists="replace"``, the fields read replace themselves in existing tables: a release can be loaded by ranges
+    of fields, and a range again.
+    """
     create_database(spark, database)
     names = {kind: f"{database}.dr{release}_{kind}" for kind in ("olc", "obs_view", "meta")}
     olc = build_olc(read_lightcurves(spark, path, fields))
     stored = write_table(olc, names["olc"], on_exists, partition_by=["fieldid"], sort_by=["cell", "oid"])
-    create_observations_view(spark, names["olc"], names["obs_view"])
-    write_table(object_meta_from_olc(stored), names["meta"], on_exists, sort_by=["oid"])
+    create_observations_view(spark, names["olc"], names["obs_view"], replace=on_exists == "drop")
+    begin, end = fields or (None, None)
+    loaded = stored.where(in_range("fieldid", begin, None if end is None else end + 1))
+    write_table(object_meta_from_olc(loaded), names["meta"], on_exists, partition_by=["fieldid"], sort_by=["oid"])
     return names
 
 

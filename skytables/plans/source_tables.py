@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skytables.operators.match import circle_match, nearest_matches
+from skytables.operators.match import circle_match, nearest_matches, nearest_per_group
 from skytables.operators.merge import source_members, source_observations
-from skytables.operators.quantiles import partitioned_run
+from skytables.operators.quantiles import partitioned_run, slice_of
 from skytables.operators.summary import source_meta, source_meta_of_members, source_meta_short
 from skytables.session import materialise
-from skytables.sources.tables import create_database, write_table
+from skytables.sources.tables import create_database, drop_table, write_table
 
 
 @dataclass
@@ -22,9 +24,15 @@ class Sources:
     meta: DataFrame
 
 
+# What the match reads of an object; the rest of the metadata is not carried along.
+_MATCH_COLUMNS = ("oid", "band", "fieldid", "ra", "dec", "cell", "ngoodobs")
+
+
 def build_sources(meta: DataFrame, obs: DataFrame, radius_arcsec: float = 0.2, store_xmatch: bool = True) -> Sources:
-    """The whole chain as DataFrames. The cross match is read by several branches, so it is stored once."""
-    xmatch = nearest_matches(meta, radius_arcsec=radius_arcsec)
+    """The whole chain as DataFrames. Both sides of the match read the metadata and several branches the match, so both are
+    stored once: a lazy ``meta`` is computed from the epochs a single time."""
+    objects = meta.select(*[c for c in _MATCH_COLUMNS if c in meta.columns])
+    xmatch = nearest_matches(materialise(objects) if store_xmatch else objects, radius_arcsec=radius_arcsec)
     if store_xmatch:
         xmatch = materialise(xmatch)
     members = source_members(xmatch)
@@ -45,6 +53,27 @@ def source_observations_in_parts(
     return partitioned_run(members, "sid", lambda part: source_observations(obs, part), parts, interval)
 
 
+def _store_slices(
+    df: DataFrame,
+    key: str,
+    job: Callable[[DataFrame], DataFrame],
+    name: str,
+    on_exists: str,
+    sort_by: list[str],
+    parts: int,
+    interval: int | str,
+) -> DataFrame:
+    """The job's result as a table; with several parts, one slice of keys after the other, each a partition of its own."""
+    if parts == 1:
+        return write_table(job(df), name, on_exists, sort_by=sort_by)
+    if on_exists == "drop" and interval == "all":
+        drop_table(df.sparkSession, name, missing_ok=True)
+    for number in range(parts) if interval == "all" else [interval]:
+        rows = job(slice_of(df, key, parts, number)).withColumn("slice", F.lit(number))
+        write_table(rows, name, "replace", partition_by=["slice"], sort_by=sort_by)
+    return df.sparkSession.table(name)
+
+
 def source_tables(
     spark: SparkSession,
     meta: str,
@@ -55,10 +84,14 @@ def source_tables(
     on_exists: str = "fail",
     store_circle: bool = False,
     short: bool = False,
+    parts: int = 1,
+    interval: int | str = "all",
 ) -> dict[str, str]:
     """Write the cross match, source observations and source metadata; returns the table names.
 
-    ``store_circle`` also writes the full pair list, ``short`` the metadata of the release's private interval.
+    ``store_circle`` also writes the full pair list, ``short`` the metadata of the release's private interval. With
+    ``parts``, pairs and source observations are written by slices of their ids, all or the one numbered ``interval``; a
+    slice that is written again replaces itself. The cross match is always whole, and kept if a single slice is asked for.
     """
     create_database(spark, database)
     suffix = f"{radius_arcsec:g}".replace(".", "p")
@@ -66,13 +99,34 @@ def source_tables(
     kinds += ["circle_match"] * store_circle + ["source_meta_short"] * short
     names = {kind: f"{database}.dr{release}_{kind}_{suffix}" for kind in kinds}
     objects, epochs = spark.table(meta), spark.table(obs)
-    if store_circle:
-        write_table(circle_match(objects, radius_arcsec=radius_arcsec), names["circle_match"], on_exists, sort_by=["oid2"])
     nearest = nearest_matches(objects, radius_arcsec=radius_arcsec)
-    xmatch = write_table(nearest, names["xmatch"], on_exists, sort_by=["oid2"])
-    observed = source_observations(epochs, source_members(xmatch))
-    source_obs = write_table(observed, names["source_obs"], on_exists, sort_by=["sid", "mjd"])
-    write_table(source_meta(source_obs), names["source_meta"], on_exists, sort_by=["cell"])
+    if store_circle:
+        circle = _store_slices(
+            objects,
+            "oid",
+            lambda part: circle_match(part, objects, radius_arcsec),
+            names["circle_match"],
+            on_exists,
+            ["oid2"],
+            parts,
+            interval,
+        )
+        if interval == "all":
+            nearest = nearest_per_group(circle)
+    one_slice = parts > 1 and interval != "all"
+    xmatch = write_table(nearest, names["xmatch"], "keep" if one_slice else on_exists, sort_by=["oid2"])
+    source_obs = _store_slices(
+        source_members(xmatch),
+        "sid",
+        lambda part: source_observations(epochs, part),
+        names["source_obs"],
+        on_exists,
+        ["sid", "mjd"],
+        parts,
+        interval,
+    ).drop("slice")
+    again = "drop" if one_slice else on_exists
+    write_table(source_meta(source_obs), names["source_meta"], again, sort_by=["cell"])
     if short:
-        write_table(source_meta_short(source_obs, release), names["source_meta_short"], on_exists, sort_by=["cell"])
+        write_table(source_meta_short(source_obs, release), names["source_meta_short"], again, sort_by=["cell"])
     return names

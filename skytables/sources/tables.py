@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_STRETCH_BITS = 20
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -21,14 +25,17 @@ def drop_table(spark: SparkSession, name: str, missing_ok: bool = False) -> None
 def clustered(df: DataFrame, sort_by: list[str], partition_by: list[str] | None = None) -> DataFrame:
     """Rows laid out on the sort keys, so that scans can skip files or row groups by their key ranges.
 
-    Under partition columns, rows are rebalanced: adaptive execution cuts a heavy partition into files of the advisory
-    size and joins light ones, in one pass over the input. Without them, rows are ranged on the keys over all files;
-    the source partition number is the last range key, so that equal keys, however many, may go to several tasks.
+    Rows are rebalanced on the partition columns or, without them, on stretches of the first sort key: adaptive execution
+    cuts what is heavy, equal keys too, into files of the advisory size and joins what is light. The input is computed once;
+    ranging the rows instead would compute it a second time for a sample.
     """
     if partition_by:
         return df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_by)
-    spread = df.withColumn("_spread", F.spark_partition_id())
-    return spread.repartitionByRange(*sort_by, "_spread").drop("_spread").sortWithinPartitions(*sort_by)
+    first = F.col(sort_by[0])
+    if isinstance(df.schema[sort_by[0]].dataType, (T.LongType, T.IntegerType)):
+        first = F.shiftright(first, _STRETCH_BITS)
+    stretched = df.withColumn("_stretch", first)
+    return stretched.hint("rebalance", "_stretch").sortWithinPartitions("_stretch", *sort_by).drop("_stretch")
 
 
 def write_table(
@@ -40,14 +47,33 @@ def write_table(
 ) -> DataFrame:
     """Create the Parquet table ``name`` from ``df`` and return it.
 
-    An existing table makes the write fail, is kept and the write skipped, or is dropped first.
+    An existing table makes the write fail, is kept and the write skipped, or is dropped first. With ``replace``, the
+    partitions that ``df`` has rows of are replaced and all others stay, so a table can be loaded part by part and a part
+    can be loaded again; this needs ``partition_by``.
     """
-    modes = {"fail": "errorifexists", "keep": "ignore", "drop": "overwrite"}
+    modes = {"fail": "errorifexists", "keep": "ignore", "drop": "overwrite", "replace": "overwrite"}
     if on_exists not in modes:
         raise ValueError(f"on_exists must be one of {', '.join(modes)}, not {on_exists!r}")
     rows = clustered(df, sort_by, partition_by) if sort_by else df
+    if on_exists == "replace":
+        if not partition_by:
+            raise ValueError("replace works on partitions: partition_by is missing")
+        if table_exists(df.sparkSession, name):
+            return _replace_partitions(rows, name)
     writer = rows.write.format("parquet").mode(modes[on_exists])
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
+
+
+def _replace_partitions(rows: DataFrame, name: str) -> DataFrame:
+    spark = rows.sparkSession
+    before = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    try:
+        rows.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, before)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)

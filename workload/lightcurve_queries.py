@@ -317,6 +317,15 @@ def _(spark, sf):
     return spark.table(names["meta"])
 
 
+@query("lightcurve_tables_by_fields", _GOOD_RAW_META)
+def _(spark, sf):
+    """Two ranges of fields, the first of them loaded twice: the same as the whole load."""
+    path, database = _stage_raw(spark, sf), _database(spark)
+    for fields in ((None, 200), (201, None), (None, 200)):
+        names = lightcurve_tables(spark, path, database, release=8, on_exists="replace", fields=fields)
+    return spark.table(names["meta"])
+
+
 @query(
     "lightcurve_tables_view",
     f"""WITH {RAW_OBS_SQL} SELECT fieldid, band, count(*) AS epochs, sum(mag::DOUBLE) AS mag_sum

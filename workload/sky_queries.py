@@ -336,6 +336,17 @@ def _(spark, sf):
     return _flat(spark.table(names["source_meta"]))
 
 
+@query("source_tables_in_slices", f"WITH {LINEITEM_CHAIN_SQL} {SOURCE_META_SELECT}")
+def _(spark, sf):
+    """Three slices, the second of them written twice: the same as the whole job."""
+    database = _database(spark)
+    meta(spark, sf).write.saveAsTable(f"{database}.meta")
+    obs(spark, sf).write.saveAsTable(f"{database}.obs")
+    for interval in (0, 1, 2, 1):
+        names = source_tables(spark, f"{database}.meta", f"{database}.obs", database, 8, RADIUS, parts=3, interval=interval)
+    return _flat(spark.table(names["source_meta"]))
+
+
 @query(
     "radians_to_degrees",
     f"""WITH {META_SQL}, r AS (SELECT oid, radians(ra) AS ra_rad, radians(dec) AS dec_rad FROM meta)
