@@ -10,9 +10,9 @@ nodes already share a component is skipped:
 3. in keys that still hold several components, all pairs across components that could be linked.
 
 For the last round, the sets of the nodes in question are counted: a member that no other of them has is in no intersection
-and in every union, so two nodes with many such members cannot reach the threshold. That bound is exact, and it settles the
-noisy copies of one text, which resemble each other but are no links, without comparing them one by one. No round leaves
-out a pair that could be a link. Each posting carries a 128-bit sketch, and pairs that differ in more than ``max_bits`` bits
+and in every union, and bitmaps of the members bound the intersection of two sets from above. Both bounds are exact, so
+noisy copies of one text, which resemble each other but are no links, fall away where they meet, and a pair that shares
+several keys arises under one of them. No round leaves out a pair that could be a link. Each posting carries a 128-bit sketch, and pairs that differ in more than ``max_bits`` bits
 are dropped where they arise. Verified pairs are not verified again.
 """
 
@@ -30,6 +30,7 @@ from skytables.session import materialise
 
 _FILTER_SLOTS = 1 << 20
 _EDGES_PER_TASK = 200_000
+_MAP_WORDS = 32
 Check = Callable[[list, list], list[bool]]
 
 
@@ -95,8 +96,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, check: Check) -> DataFrame:
 
 
 def _with_private(nodes: DataFrame, texts: DataFrame, sets_of: Callable[[list], list[np.ndarray]]) -> DataFrame:
-    """(node, size, private, one): the size of each node's set and how many of its members no other of the nodes has;
-    ``one`` is false for a key that several texts share, to which no bound applies."""
+    """(node, size, private, map, taken, one): the size of each node's set, how many of its members no other of the nodes
+    has, a bitmap of its members by hash and the places taken in it; ``one`` is false for a node of several texts, to which
+    no bound applies."""
     own = _texts_of(nodes.select(F.col("node").alias("a"), F.col("node").alias("b")), texts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -111,13 +113,36 @@ def _with_private(nodes: DataFrame, texts: DataFrame, sets_of: Callable[[list],
                     }
                 )
 
+    def bitmaps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.iloc[at : at + 256]
+                flags = np.zeros((len(part), 64 * _MAP_WORDS), bool)
+                for row, items in zip(flags, sets_of(part["text"].tolist())):
+                    row[(items % np.uint64(64 * _MAP_WORDS)).astype(np.int64)] = True
+                words = np.packbits(flags, axis=1).view(np.int64)
+                yield pd.DataFrame({"node": part["node"].to_numpy(), "map": list(words), "taken": flags.sum(axis=1)})
+
     kind = nodes.schema["node"].dataType.simpleString()
     members = own.mapInPandas(run, f"node {kind}, item long")
     held = members.groupBy("item").agg(F.min("node").alias("node"), F.max("node").alias("last"))
     private = held.filter("node = last").groupBy("node").agg(F.count("*").alias("private"))
     sizes = members.distinct().groupBy("node").agg(F.count("*").alias("size"))
-    sizes = sizes.join(own.groupBy("node").agg((F.count("*") == 1).alias("one")), "node")
-    return materialise(sizes.join(private, "node", "left").fillna(0, ["private"]))
+    maps = own.mapInPandas(bitmaps, f"node {kind}, map array<long>, taken long").groupBy("node")
+    maps = maps.agg((F.count("*") == 1).alias("one"), F.max("map").alias("map"), F.max("taken").alias("taken"))
+    return materialise(sizes.join(maps, "node").join(private, "node", "left").fillna(0, ["private"]))
+
+
+def _most_in_common() -> Column:
+    """Upper bound of the intersection of the sets of x and y.
+
+    Members no other node has are in none. Of the rest, each place that both bitmaps have taken can hold one common member,
+    and more only where members of the same set fell on one place.
+    """
+    both = F.zip_with("x.map", "y.map", lambda a, b: F.bit_count(a.bitwiseAND(b)))
+    places = F.aggregate(both, F.lit(0), lambda s, n: s + n)
+    doubled = F.least(F.col("x.size") - F.col("x.taken"), F.col("y.size") - F.col("y.taken"))
+    return F.least(places + doubled, F.col("x.size") - F.col("x.private"), F.col("y.size") - F.col("y.private"))
 
 
 def link(
@@ -159,12 +184,17 @@ def link(
         _bits(F.col("x.s0"), F.col("x.s1"), F.col("y.s0"), F.col("y.s1")) <= max_bits
     )
     nodes = materialise(left.join(right, apart & (F.col("x.label") != F.col("y.label")), "left_semi").select("node").distinct())
-    placed = materialise(placed.join(_with_private(nodes, texts, sets_of), "node"))
+    placed = placed.join(_with_private(nodes, texts, sets_of), "node")
+    keys = placed.groupBy("node").agg(F.collect_set("key").alias("keys"))  # a node has as many as the signature join posts
+    placed = materialise(placed.join(keys, "node"))
     left, right = placed.alias("x"), placed.alias("y")
-    common = F.least(F.col("x.size") - F.col("x.private"), F.col("y.size") - F.col("y.private"))
-    union = F.greatest(F.col("x.size") + F.col("y.private"), F.col("y.size") + F.col("x.private"))
-    possible = (100 * common >= percent * union) | ~F.col("x.one") | ~F.col("y.one")
-    both = left.join(right, apart & (F.col("x.label") < F.col("y.label")) & possible)
+    few = F.least(F.col("x.size") - F.col("x.private"), F.col("y.size") - F.col("y.private"))
+    many = F.greatest(F.col("x.size") + F.col("y.private"), F.col("y.size") + F.col("x.private"))
+    most = _most_in_common()
+    bound = (100 * few >= percent * many) & ((100 + percent) * most >= percent * (F.col("x.size") + F.col("y.size")))
+    possible = bound | ~F.col("x.one") | ~F.col("y.one")
+    once = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key")  # of the keys two nodes share, one pairs them
+    both = left.join(right, apart & (F.col("x.label") < F.col("y.label")) & possible & once)
     new = _ordered(both.select(F.col("x.node").alias("node"), F.col("y.node").alias("other")))
     new = materialise(new.join(tried, ["a", "b"], "left_anti"))
     return components(links.unionByName(_verified(new, texts, check)))
