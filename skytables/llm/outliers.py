@@ -125,13 +125,19 @@ def _features() -> list[Column]:
     return [F.floor(v * GRID + 0.5).cast("long") for v in values]
 
 
+def _table(groups: DataFrame) -> DataFrame:
+    """A stored table of a few rows for each group, in one file: the planner then sees its true size, and broadcasts it as
+    long as it is small instead of dealing the rows by group."""
+    return materialise(groups.repartition(1))
+
+
 def _groups(rows: DataFrame, smallest: int) -> DataFrame:
     """Group names: language and source; all small sources of a language together; all that is still small together; else
     NULL, which gets no verdict."""
     sizes = rows.groupBy("_l", "_s").agg(F.count_if(~F.col("base_failed")).alias("_n"))
     rest = F.sum(F.when(F.col("_n") < smallest, F.col("_n"))).over(Window.partitionBy("_l"))
     own = F.when(F.col("_n") >= smallest, F.concat_ws("\x01", "_l", "_s")).when(rest >= smallest, F.col("_l"))
-    named = materialise(sizes.select("_l", "_s", "_n", own.alias("_g")))
+    named = _table(sizes.select("_l", "_s", "_n", own.alias("_g")))
     left = named.filter(F.col("_g").isNull()).agg(F.sum("_n")).first()[0] or 0
     other = F.lit("all" if left >= smallest else None).cast("string")
     return named.select("_l", "_s", F.coalesce("_g", other).alias("_g"))
@@ -202,7 +208,7 @@ def _starts(fit: DataFrame) -> DataFrame:
     per_group = fit.groupBy("_g").agg(
         *[F.percentile(F.get(F.col("_x"), F.lit(i)), 0.5).alias(f"med{i}") for i in range(_P)]
     )
-    near = fit.join(materialise(per_group), "_g")
+    near = fit.join(_table(per_group), "_g")
     z = [F.abs(F.get(F.col("_x"), F.lit(i)) - F.col(f"med{i}")) / (FLOORS[i] * GRID) for i in range(_P)]
     euclid = reduce(add, [v * v for v in z])
     largest = F.greatest(*z) * F.greatest(*z)
@@ -262,15 +268,15 @@ def judge(
     fit = rows.filter(~F.col("base_failed")).select("_l", "_s", "_x").join(groups, ["_l", "_s"])
     fit = materialise(fit.filter(F.col("_g").isNotNull()).select("_g", "_x"))
 
-    estimates = materialise(_estimates(_nearest(_starts(fit), subset), _consistency(subset)))
+    estimates = _table(_estimates(_nearest(_starts(fit), subset), _consistency(subset)))
     for _ in range(steps):
         placed = fit.join(estimates.select("_g", "start", "e"), "_g").select("_g", "start", "_x", _bin(_distance("e")).alias("bin"))
         sums = placed.groupBy("_g", "start", "bin").agg(*_sums())
-        estimates = materialise(_estimates(_nearest(sums, subset), _consistency(subset)))
-    best = materialise(estimates.groupBy("_g").agg(F.min_by("e", F.struct("log_det", "start")).alias("e")))
+        estimates = _table(_estimates(_nearest(sums, subset), _consistency(subset)))
+    best = _table(estimates.groupBy("_g").agg(F.min_by("e", F.struct("log_det", "start")).alias("e")))
     inside = fit.join(best, "_g").filter(_distance("e") <= chi2_quantile(0.975, _P))
     sums = inside.groupBy("_g").agg(*_sums()).withColumn("start", F.lit(0))
-    final = materialise(groups.join(_estimates(sums, _consistency(0.975)).select("_g", "e"), "_g").select("_l", "_s", "e"))
+    final = _table(groups.join(_estimates(sums, _consistency(0.975)).select("_g", "e"), "_g").select("_l", "_s", "e"))
 
     out = rows.join(final, ["_l", "_s"], "left").withColumn("distance", F.when(~F.col("base_failed"), _distance("e")))
     far = F.coalesce(F.col("distance") > chi2_quantile(cutoff, _P), F.lit(False))
