@@ -159,15 +159,15 @@ def build_index(captures: DataFrame, folder: str, *, block_lines: int = 300, cap
     return materialise(by_key.mapInPandas(run, "index_file string, first string, start long, length long, number long"))
 
 
-def _code_points(text: str) -> list[str]:
-    return json.loads(text)
+def _key_of(first: str) -> list[str]:
+    return json.loads(first)
 
 
 def look_up(queries: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
     """Captures of each query. ``queries`` has ``url`` and ``id`` (NULL: every capture of the URL); both come back with
     file, start, length and kind. A query that nothing answers gives no row."""
     heads = directory.filter("number = 0").select("first", "index_file").toPandas()
-    heads = sorted((_code_points(f), n) for f, n in zip(heads["first"], heads["index_file"]))
+    heads = sorted((_key_of(f), n) for f, n in zip(heads["first"], heads["index_file"]))
     firsts = [h[0] for h in heads]
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,7 +191,7 @@ def look_up(queries: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
             return pd.DataFrame([], columns=names)
         store, path = _open(folder)
         blocks = blocks.sort_values("number")
-        starts = [_code_points(f) for f in blocks["first"]]
+        starts = [_key_of(f) for f in blocks["first"]]
         held, out = {}, []
         with store.open_input_file(f"{path}/{blocks['index_file'].iloc[0]}") as source:
 

@@ -41,6 +41,7 @@ def shared_spans(documents: DataFrame, benchmark: DataFrame, *, text: str, item:
     items = benchmark.select(F.col(item).cast("string").alias("item"), item_words(item_text).alias("iw")).filter(F.size("iw") > 0)
     items = items.withColumn("ikey", F.md5(F.concat_ws(" ", "iw").cast("binary")))
     items = materialise(items)
+    files = 1 + items.count() // 100_000  # few files, so that the planner sees the true size of what it may broadcast
     whole = items.select("ikey", "iw").dropDuplicates(["ikey"])
     window = span - gram + 1
     long_items = whole.filter(F.size("iw") >= span).withColumn("g", _grams("iw", gram))
@@ -52,8 +53,8 @@ def shared_spans(documents: DataFrame, benchmark: DataFrame, *, text: str, item:
     for n in lengths:
         short = whole.filter(F.size("iw") == n).select("ikey", F.get(_grams("iw", n), F.lit(0)).alias("hash"), F.lit(0).alias("q"))
         seeds = seeds.unionByName(short)
-    seeds = materialise(seeds.repartition(1))
-    hashes = materialise(seeds.select("hash").distinct())
+    seeds = materialise(seeds.repartition(files))
+    hashes = materialise(seeds.select("hash").distinct().repartition(files))
 
     def with_hashes(df: DataFrame, winnowed: bool) -> DataFrame:
         df = df.withColumn("g", _grams("w", gram))
