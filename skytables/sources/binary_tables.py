@@ -6,6 +6,7 @@ import gzip
 import re
 from collections.abc import Iterator
 from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ _SPARK_TYPES = {
     "L": T.BooleanType(), "B": T.ShortType(), "I": T.ShortType(), "J": T.IntegerType(), "K": T.LongType(),
     "E": T.FloatType(), "D": T.DoubleType(), "A": T.StringType(),
 }
+# Whole numbers with an offset need one step more. Unsigned 64-bit values stay BIGINT and fail where they do not fit.
+_WIDER_TYPES = {"B": T.ShortType(), "I": T.IntegerType(), "J": T.LongType(), "K": T.LongType()}
 
 
 def _read_header(data: bytes, start: int) -> tuple[dict, int]:
@@ -62,22 +65,41 @@ def _table_unit(data: bytes) -> tuple[dict, int]:
     raise ValueError("no binary table in file")
 
 
-def _columns(cards: dict) -> list[tuple[str, int, str]]:
-    """(lower-case name, repeat, format letter) of each table column."""
+class _Field(NamedTuple):
+    """One table column: stored values times ``scale`` plus ``zero``; a stored ``null`` means no value."""
+
+    name: str
+    repeat: int
+    letter: str
+    scale: float = 1.0
+    zero: float = 0.0
+    null: int | None = None
+
+    def spark_type(self) -> T.DataType:
+        if (self.scale, self.zero) == (1.0, 0.0):
+            return _SPARK_TYPES[self.letter]
+        return _WIDER_TYPES[self.letter] if self.is_whole() else T.DoubleType()
+
+    def is_whole(self) -> bool:
+        """Integers with a whole offset: unsigned ones are stored that way."""
+        return self.letter in _WIDER_TYPES and self.scale == 1.0 and self.zero.is_integer()
+
+
+def _columns(cards: dict) -> list[_Field]:
     out = []
     for i in range(1, int(cards["TFIELDS"]) + 1):
         repeat, letter = re.match(r"(\d*)([A-Z])", cards[f"TFORM{i}"]).groups()
         if letter not in _FITS_TYPES:
             raise ValueError(f"column format {cards[f'TFORM{i}']} is not supported")
-        if f"TZERO{i}" in cards or f"TSCAL{i}" in cards:
-            raise ValueError(f"scaled column {cards[f'TTYPE{i}']} is not supported")
-        out.append((cards[f"TTYPE{i}"].lower(), int(repeat or 1), letter))
+        scale, zero = (float(cards.get(f"{key}{i}", default).replace("D", "E")) for key, default in (("TSCAL", "1"), ("TZERO", "0")))
+        null = cards.get(f"TNULL{i}")
+        out.append(_Field(cards[f"TTYPE{i}"].lower(), int(repeat or 1), letter, scale, zero, None if null is None else int(null)))
     return out
 
 
-def _row_dtype(columns: list[tuple[str, int, str]]) -> np.dtype:
+def _row_dtype(columns: list[_Field]) -> np.dtype:
     parts = []
-    for name, repeat, letter in columns:
+    for name, repeat, letter, *_ in columns:
         if letter == "A":
             parts.append((name, f"S{repeat}"))
         else:
@@ -85,18 +107,30 @@ def _row_dtype(columns: list[tuple[str, int, str]]) -> np.dtype:
     return np.dtype(parts)
 
 
-def _to_arrow(values: np.ndarray, letter: str, target: pa.DataType) -> pa.Array:
-    """One column as Arrow in native byte order; vectors become lists, text loses its padding."""
+def _to_arrow(values: np.ndarray, field: _Field, target: pa.DataType) -> pa.Array:
+    """One column as Arrow in native byte order; vectors become lists, text loses its padding.
+
+    A value that the target type cannot hold fails the job.
+    """
+    letter = field.letter
     if letter == "A":
         text = pa.array(np.ascontiguousarray(values), pa.binary()).cast(pa.string())
         return pc.utf8_rtrim(text, " \0")
     flat = values.reshape(-1)
     flat = flat == b"T" if letter == "L" else flat.astype(flat.dtype.newbyteorder("="))
+    missing = None if field.null is None else flat == field.null
+    if (field.scale, field.zero) != (1.0, 0.0):
+        if not field.is_whole():
+            flat = flat * field.scale + field.zero
+        elif letter == "K":  # the sum of two 64-bit numbers: modulo 2**64, as unsigned
+            flat = flat.view(np.uint64) + np.uint64(int(field.zero) % 2**64)
+        else:
+            flat = flat.astype(np.int64) + int(field.zero)
+    flat = pa.array(flat, mask=missing)
     if not pa.types.is_list(target):
-        return pa.array(flat).cast(target)
-    width = values.shape[1]
-    offsets = pa.array(np.arange(0, len(flat) + 1, width, dtype=np.int32))
-    return pa.ListArray.from_arrays(offsets, pa.array(flat).cast(target.value_type)).cast(target)
+        return flat.cast(target)
+    offsets = pa.array(np.arange(0, len(flat) + 1, values.shape[1], dtype=np.int32))
+    return pa.ListArray.from_arrays(offsets, flat.cast(target.value_type)).cast(target)
 
 
 def _decode_fits(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -107,12 +141,12 @@ def _decode_fits(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterat
                 data = memoryview(gzip.decompress(data))
             cards, start = _table_unit(data)
             columns = _columns(cards)
-            letters = {name: letter for name, _, letter in columns}
+            fields = {c.name: c for c in columns}
             rows = np.frombuffer(data, _row_dtype(columns), count=int(cards["NAXIS2"]), offset=start)
             for i in range(0, len(rows), _BATCH_ROWS):
                 part = rows[i : i + _BATCH_ROWS]
                 yield pa.record_batch(
-                    [_to_arrow(part[f.name], letters[f.name], f.type) for f in schema], schema=schema
+                    [_to_arrow(part[f.name], fields[f.name], f.type) for f in schema], schema=schema
                 )
 
 
@@ -133,10 +167,9 @@ def fits_schema(spark: SparkSession, path: str, glob: str = "*.fits*") -> T.Stru
         data = gzip.decompress(data)
     cards, _ = _table_unit(data)
     fields = []
-    for name, repeat, letter in _columns(cards):
-        spark_type = _SPARK_TYPES[letter]
-        vector = repeat != 1 and letter != "A"
-        fields.append(T.StructField(name, T.ArrayType(spark_type) if vector else spark_type))
+    for column in _columns(cards):
+        vector = column.repeat != 1 and column.letter != "A"
+        fields.append(T.StructField(column.name, T.ArrayType(column.spark_type()) if vector else column.spark_type()))
     return T.StructType(fields)
 
 

@@ -13,7 +13,7 @@ from skytables.functions.sky import COARSE
 from skytables.operators.filters import resolve_position_columns
 from skytables.plans.catalogues import load_catalogue, load_fixed_width
 from skytables.schemas import OTMO, PSC, STRM
-from skytables.sources.binary_tables import read_fits_table, read_fixed_width
+from skytables.sources.binary_tables import fits_schema, read_fits_table, read_fixed_width
 from skytables.sources.catalogue_csv import ecsv_schema, read_ecsv, read_otmo_csv, read_psc, read_strm_csv
 from skytables.session import shared_dir
 from workload.lightcurve_queries import _database
@@ -243,6 +243,31 @@ def _(spark, sf):
     return explode_bands(photo, ["flags", "flags2", "psfflux"])
 
 
+@query(
+    "read_fits_scaled",
+    """SELECT p_partkey AS id, (p_size + 40000)::INTEGER AS count16, (p_partkey + 3000000000)::BIGINT AS count32,
+      p_size * 0.25::DOUBLE - 3.0::DOUBLE AS level, CASE WHEN p_size % 4 > 0 THEN p_size::INTEGER END AS flag FROM part""",
+)
+def _(spark, sf):
+    """Unsigned integers, stored with an offset; a scaled column; a column with a number for missing values."""
+    size, key = F.col("p_size"), F.col("p_partkey")
+    stored = table(spark, sf, "part").select(
+        key.cast("long").alias("id"),
+        (size + 40000 - 32768).cast("short").alias("count16"),
+        (key + F.lit(3_000_000_000) - F.lit(2_147_483_648)).cast("int").alias("count32"),
+        size.cast("int").alias("level"),
+        F.when(size % 4 > 0, size).otherwise(-99).cast("int").alias("flag"),
+    )
+    keywords = {
+        "count16": {"TZERO": "32768", "TSCAL": "1"},
+        "count32": {"TZERO": "2147483648"},
+        "level": {"TSCAL": "0.25", "TZERO": "-3.0"},
+        "flag": {"TNULL": "-99"},
+    }
+    path = stage_encoded(stored, "scaled-{:05d}-{:05d}.fits", partial(encode_fits, keywords=keywords))
+    return read_fits_table(spark, path, fits_schema(spark, path))
+
+
 @query(
     "explode_bands",
     "SELECT vec_id, label, " + ", ".join(f"embedding[{i + 1}] AS embedding_{i}" for i in range(64)) + " FROM embeddings",

@@ -69,8 +69,11 @@ def encode_records(batch: pa.RecordBatch) -> bytes:
     return np.column_stack(columns).tobytes()
 
 
-def encode_fits(batch: pa.RecordBatch, zipped: bool = False) -> bytes:
-    """A FITS file with one binary table; text columns take 12 bytes, list columns must have equal lengths."""
+def encode_fits(batch: pa.RecordBatch, zipped: bool = False, keywords: dict[str, dict[str, str]] | None = None) -> bytes:
+    """A FITS file with one binary table; text columns take 12 bytes, list columns must have equal lengths.
+
+    ``keywords`` adds header keywords such as TZERO to columns, whose values are those to be stored.
+    """
     fields, forms = [], []
     for name, column in zip(batch.schema.names, batch.columns):
         if pa.types.is_string(column.type):
@@ -102,6 +105,7 @@ def encode_fits(batch: pa.RecordBatch, zipped: bool = False) -> bytes:
     cards += [("NAXIS2", str(len(rows))), ("PCOUNT", "0"), ("GCOUNT", "1"), ("TFIELDS", str(len(fields)))]
     for i, (field, form) in enumerate(zip(fields, forms), 1):
         cards += [(f"TTYPE{i}", f"'{field[0].upper()}'"), (f"TFORM{i}", f"'{form}'")]
+        cards += [(f"{k}{i}", v) for k, v in (keywords or {}).get(field[0], {}).items()]
     body = rows.tobytes()
     content = primary + unit(cards) + body.ljust(-(-len(body) // 2880) * 2880, b"\0")
     return gzip.compress(content, compresslevel=1) if zipped else content
