@@ -73,6 +73,12 @@ def test_article_without_its_surroundings():
     assert main_text(ARTICLE, None, set(), 0.6) == "A & B\n\nOne.\n\nTwo three four\n\nx\n\ny"
 
 
+def test_marks_on_single_blocks_and_beside_content():
+    page = """<body><div class="content has-sidebar"><article><div class="entry-header"><h2>T</h2></div><p class="advert">Buy<p>One
+    <p class="share-links">Share</p><ul><li>a<li class="ad">b<li>c</ul></article></div><p>out</p></body>"""
+    assert main_text(page, None, set(), 0.6) == "T\n\nOne\n\na\n\nc"
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "text only", "<p>a<p>b", "<div><div><span>", "</div></p>x", "<a title='x>y'>z</a>", "<script>"])
 def test_broken_markup(page):
     assert isinstance(main_text(page, None, set(), 0.6), str)
