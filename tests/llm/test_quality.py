@@ -42,7 +42,7 @@ def test_edge_texts(documents):
 
 def regular(n, lang="en", source="s0", start=0):
     vocabulary = [f"{'abcdefgh'[i % 8] * (1 + i % 7)}{i}" for i in range(500)]
-    return [(start + k, " ".join(vocabulary[(k * 37 + j * (k % 11 + 1) * 7) % 500] for j in range(120)), lang, source) for k in range(n)]
+    return [(start + k, " ".join(vocabulary[(k * 37 + j * (k % 11 * 20 + 7)) % 500] for j in range(120)), lang, source) for k in range(n)]
 
 
 def test_outliers_go_and_regular_rows_stay(documents):
