@@ -152,8 +152,10 @@ def _one_whole_epoch(supply: DataFrame, weights: DataFrame, names: list[str], to
         at = at.join(weigh.select(*path, "weight"), path, "left").withColumn("weight", F.coalesce("weight", F.lit(1)))
         part = F.col("weight") / F.sum("weight").over(Window.partitionBy(*path[:-1]))
         share = share.join(at.select(*path, part.alias("_part")), path).withColumn("_share", F.col("_share") * F.col("_part")).drop("_part")
-    need = share.agg(F.max(F.ceil(F.col("supply") / F.col("_share")))).first()[0]
-    return int(max(total, need or 0)) + 1000
+    # Each level rounds down, and shares are floating point: a few tokens more than the supply must arrive at the leaf.
+    enough = F.col("supply") * (1 + 1e-9) + len(names) + 1
+    need = share.agg(F.max(F.ceil(enough / F.col("_share")))).first()[0]
+    return int(max(total, need or 0))
 
 
 def mixed_rows(documents: DataFrame, **options) -> DataFrame:
