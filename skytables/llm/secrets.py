@@ -89,33 +89,36 @@ def _placed(layer: _Layer, pieces: list[tuple[str, int, int]]) -> _Layer:
 
 
 def _percent_pieces(run: str, at: int) -> list[tuple[str, int, int]] | None:
-    raw = bytes.fromhex(run.replace("%", ""))
-    try:
-        decoded = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    out = []
-    for c in decoded:
-        n = 3 * len(c.encode("utf-8"))
-        out.append((c, at, at + n))
-        at += n
-    return out
+    """Decoded characters; bytes that are not UTF-8 stay as they are written. None if all of them are so."""
+    out, changed, i = [], False, 0
+    for c in bytes.fromhex(run.replace("%", "")).decode("utf-8", "surrogateescape"):
+        if 0xD800 <= ord(c) < 0xE000:
+            n = 3
+            out.append((run[i : i + n], at + i, at + i + n))
+        else:
+            n, changed = 3 * len(c.encode("utf-8")), True
+            out.append((c, at + i, at + i + n))
+        i += n
+    return out if changed else None
 
 
 def _escape_pieces(run: str, at: int) -> list[tuple[str, int, int]] | None:
-    out = []
+    """Decoded characters; numbers that are none, lone surrogates too, stay as they are written. None if all are so."""
+    out, changed, high = [], False, None  # high: the code before, if it waits for its second half
     for m in _ONE_ESCAPE.finditer(run):
         hexed, decimal = m[1] or m[2] or m[3] or m[5], m[4]
         code = int(hexed, 16) if hexed else int(decimal)
-        if code > 0x10FFFF or 0xDC00 <= code < 0xE000 and not (out and 0xD800 <= ord(out[-1][0]) < 0xDC00):
-            return None
-        if 0xDC00 <= code < 0xE000:
-            high = out.pop()
-            code = 0x10000 + ((ord(high[0]) - 0xD800) << 10) + code - 0xDC00
-            out.append((chr(code), high[1], at + m.end()))
+        before, high = high, None
+        if 0xDC00 <= code < 0xE000 and before is not None:
+            code = 0x10000 + ((before - 0xD800) << 10) + code - 0xDC00
+            out[-1], changed = (chr(code), out[-1][1], at + m.end()), True
+        elif code > 0x10FFFF or 0xD800 <= code < 0xE000:
+            out.append((m[0], at + m.start(), at + m.end()))
+            high = code if code < 0xDC00 else None
         else:
             out.append((chr(code), at + m.start(), at + m.end()))
-    return None if any(0xD800 <= ord(p[0]) < 0xE000 for p in out) else out
+            changed = True
+    return out if changed else None
 
 
 def _unescaped(layer: _Layer, pattern: re.Pattern, decode) -> _Layer | None:
@@ -133,14 +136,6 @@ def _unescaped(layer: _Layer, pattern: re.Pattern, decode) -> _Layer | None:
     return _placed(layer, [p for p in pieces if p[0]])
 
 
-def _readable(raw: bytes) -> str | None:
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
-
-
 def _inflate(source) -> Iterator[bytes]:
     """Unpacked bytes of the gzip and zlib members that follow each other, up to damage, and what follows the last as it is."""
     unpack, held, plain = zlib.decompressobj(47), b"", False
@@ -267,7 +262,9 @@ def _from_base64(layer: _Layer, run: str, places: np.ndarray | int, starts: list
             if s % 4 == phase and raw[at : at + 2] in _PACKED_HEADS:
                 first, last = layer.origin(*map(int, ranges(s, len(run))))
                 yield from _unpacked(raw[at:], first, last, most, cut)
-        found = [("utf-8", "strict", 0)] if _readable(raw) else []
+        found = [("utf-8", "surrogateescape", 0)] if _STRETCH.search(raw) else []
+        if b"\0" in raw:
+            found += [("utf-16-le", "surrogatepass", k) for k in sorted({m.start() % 2 for m in _WIDE_STRETCH.finditer(raw)})]
         for codec, errors, skip in found:
             odd = (len(raw) - skip) % 2 if codec != "utf-8" else 0
             text = raw[skip : len(raw) - odd].decode(codec, errors)

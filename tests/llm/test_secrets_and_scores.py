@@ -137,3 +137,21 @@ def test_members_that_follow_each_other_and_damaged_ends():
     noise = "".join(hashlib.sha512(bytes([i])).hexdigest().upper() for i in range(20))
     damaged = gzip.compress((SECRET + " " + noise).encode())[:-200]
     assert {k for _, k, _ in unwrap(b64(damaged))[0]} == {0}
+
+
+@pytest.mark.parametrize("odd", [" ", "﻿", "‍", "­", "　", "\f", "\0", "\U0001f511"])
+def test_characters_that_do_not_print_hide_nothing(odd):
+    for coded in (b64(odd + SECRET + odd), b64(gzip.compress((odd + SECRET).encode()))):
+        assert any(k == 0 for _, k, _ in unwrap(coded)[0])
+
+
+def test_bytes_that_are_no_characters_hide_nothing():
+    for data in (b"caf\xe9 " + SECRET.encode(), SECRET.encode("utf-16"), b"\xff" + SECRET.encode("utf-16-be"), SECRET.encode("utf-16-le")):
+        for coded in (b64(data), b64(gzip.compress(data))):
+            assert any(k == 0 for _, k, _ in unwrap(coded)[0])
+    start = unwrap(b64("é\xe9é token=abcdefghijkl".encode("utf-16-le")))[0]
+    assert start == {(math.floor(8 * 4 / 3), 0, math.ceil(44 * 4 / 3))}
+    url = "%E9" + "".join(f"%{c:02X}" for c in SECRET.encode())
+    assert {(a, b) for a, k, b in unwrap(url)[0] if k == 0} == {(3, len(url) - 3)}
+    escaped = "\\ud800" + "".join(f"\\u{ord(c):04x}" for c in SECRET) + "\\udc00&#9999999;"
+    assert any(k == 0 for _, k, _ in unwrap(escaped)[0])
