@@ -1,7 +1,7 @@
 """Secret scans through encoded layers.
 
 A worklist starts with the text. Each layer is scanned, then everything in it that decodes (percent and Unicode escapes
-anywhere, base64 runs, gzip and zlib data inside them) becomes a further layer, until none is new.
+anywhere, base64 runs, also over line ends, gzip and zlib data inside them) becomes a further layer, until none is new.
 Bytes that are no characters stay as they are and hide nothing beside them. Every character of a
 layer carries the range of the original text it came from, so spans found in any depth are spans of the text. A layer is
 known by its content and its place; meeting it again ends that branch, which also stops data that unpacks to itself.
@@ -31,6 +31,8 @@ _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|
 _ONE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _BASE64_PART = re.compile(r"[A-Za-z0-9]{16,}={0,2}")
+_RUN = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[\x20\t]*+(?:\r\n?|\n)[\x20\t]*+[A-Za-z0-9+/_-]++)+={0,2}")
 _PACKED_HEADS = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
 # Every secret and every escape has or comes from so many readable ASCII characters in a row; bytes without them hold none.
 _STRETCH = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
@@ -287,6 +289,10 @@ def _from_base64(layer: _Layer, run: str, places: np.ndarray | int, starts: list
                 yield _Layer(text, layer.start[first], layer.end[last - 1])
 
 
+def _starts(run: str) -> list[int]:
+    return [0] + [m.end() for m in re.finditer("[/_+-]", run) if m.end() < len(run.rstrip("="))]
+
+
 def _inner(layer: _Layer, most: int | None, cut: list[int]) -> Iterator[_Layer]:
     """Everything in a layer that decodes."""
     text = layer.text
@@ -295,11 +301,18 @@ def _inner(layer: _Layer, most: int | None, cut: list[int]) -> Iterator[_Layer]:
     if "\\" in text or "&#" in text:
         yield from (x for x in [_unescaped(layer, _ESCAPE, _escape_pieces)] if x)
     for m in _BASE64.finditer(text):
-        inner = list(_from_base64(layer, m[0], m.start(), [0], most, cut))
-        yield from inner
-        if not inner and re.search("[/_+-]", m[0]):
+        starts = _starts(m[0])
+        yield from _from_base64(layer, m[0], m.start(), starts, most, cut)
+        if len(starts) > 1:
             for part in _BASE64_PART.finditer(text, m.start(), m.end()):
                 yield from _from_base64(layer, part[0], part.start(), [0], most, cut)
+    for m in _WRAPPED.finditer(text):
+        lines = list(_RUN.finditer(text, m.start(), m.end()))
+        run = "".join(line[0] for line in lines)
+        if len(run) >= 16:
+            places = np.concatenate([np.arange(line.start(), line.end()) for line in lines])
+            begins = np.cumsum([0] + [len(line[0]) for line in lines[:-1]]).tolist()
+            yield from _from_base64(layer, run, places, sorted({*begins, *_starts(run)}), most, cut)
 
 
 def unwrap(text: str, most: int | None = None) -> tuple[set[tuple[int, int, int]], int, int]:

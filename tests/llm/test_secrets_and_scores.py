@@ -155,3 +155,25 @@ def test_bytes_that_are_no_characters_hide_nothing():
     assert {(a, b) for a, k, b in unwrap(url)[0] if k == 0} == {(3, len(url) - 3)}
     escaped = "\\ud800" + "".join(f"\\u{ord(c):04x}" for c in SECRET) + "\\udc00&#9999999;"
     assert any(k == 0 for _, k, _ in unwrap(escaped)[0])
+
+
+@pytest.mark.parametrize("width", [20, 64, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    "])
+def test_wrapped_base64_is_one_run(width, end):
+    plain = "x" * (width * 3 // 4 - 10) + " " + SECRET + " tail " * 30
+    noise = "".join(hashlib.sha256(bytes([i])).hexdigest().upper() for i in range(20))
+    for data in (plain.encode(), gzip.compress((noise + SECRET).encode()), zlib.compress((noise + SECRET).encode())):
+        coded = b64(data)
+        wrapped = end.join(coded[i : i + width] for i in range(0, len(coded), width))
+        for text in (f"data: {wrapped}\n-----", f"-----BEGIN CERTIFICATE-----{end}{wrapped}\n-----END", f"one-word{end}{wrapped}"):
+            begin = text.index(wrapped)
+            spans = [(a, b) for a, k, b in unwrap(text)[0] if k == 0]
+            assert any(begin <= a < b <= begin + len(wrapped) and b - a > len(SECRET) for a, b in spans)
+
+
+def test_prefix_before_a_run_with_separators():
+    data = b"\xff\xfe\xfb>?~ " + SECRET.encode() + b" ?>~\xff\xff"
+    for payload in (b64(data), base64.urlsafe_b64encode(data).decode(), b64(gzip.compress(data + b"\xff" * 9 + hashlib.sha512(b"n").digest() * 3))):
+        for prefix in ("v1/", "key_", "ab-", "abc+"):
+            found = unwrap(f"see {prefix}{payload}")[0]
+            assert any(k == 0 and a >= 4 + len(prefix) for a, k, _ in found)
