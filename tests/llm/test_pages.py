@@ -123,3 +123,19 @@ def _plain(fragment):
     import re
 
     return html.unescape(re.sub(r"<[^>]+>", " ", fragment))
+
+
+def test_fixed_blocks_inside_articles_and_cards_beside_the_text(spark):
+    rows = []
+    for i in range(6):
+        body = " ".join(f"a{i}x{j}" for j in range(40))
+        rows.append((i, "http://a.example.com/", f"<body><article><p>{body}</p><p>Sign up for our letter today</p></article></body>"))
+        text = " ".join(f"b{i}x{j}" for j in range(60))
+        card = f"<div class=box><article><p>card {i}</p></article></div>"
+        rows.append((20 + i, "http://b.example.com/", f"<body><div class=body><p>{text}</p></div>{card}</body>"))
+        rows.append((40 + i, "http://c.example.com/", "<body><article><p>the same page</p></article></body>"))
+    got = {r.page_id: r.text for r in extract_main_text(pages(spark, rows)).collect()}
+    for i in range(6):
+        assert got[i] == " ".join(f"a{i}x{j}" for j in range(40))
+        assert " ".join(f"b{i}x{j}" for j in range(60)) in got[20 + i]
+        assert got[40 + i] == "the same page"
