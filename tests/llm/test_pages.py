@@ -139,3 +139,19 @@ def test_fixed_blocks_inside_articles_and_cards_beside_the_text(spark):
         assert got[i] == " ".join(f"a{i}x{j}" for j in range(40))
         assert " ".join(f"b{i}x{j}" for j in range(60)) in got[20 + i]
         assert got[40 + i] == "the same page"
+
+
+@pytest.mark.parametrize("odd", [None, "", "stub", "<body><table><tr><td>other</td></tr></table></body>"])
+def test_odd_pages_leave_the_template_of_their_host(spark, odd):
+    rows = [(i, "http://daily.example.com/", site(i, 8)) for i in range(8)] + [(50, "http://daily.example.com/", odd)]
+    got = {r.page_id: r.text for r in extract_main_text(pages(spark, rows)).collect()}
+    for i in range(8):
+        assert got[i] == " ".join(f"w{i}x{j}" for j in range(8)) + f"\n\nMore about {i}"
+
+
+def test_layouts_of_a_host_have_their_own_templates(spark):
+    rows = [(i, "http://daily.example.com/", site(i, 8)) for i in range(8)]
+    rows += [(50 + i, "http://daily.example.com/", f"<body><section class=photo><p>photo {i} of the day</p></section></body>") for i in range(20)]
+    got = {r.page_id: r.text for r in extract_main_text(pages(spark, rows)).collect()}
+    for i in range(8):
+        assert got[i] == " ".join(f"w{i}x{j}" for j in range(8)) + f"\n\nMore about {i}"
