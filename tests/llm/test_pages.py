@@ -155,3 +155,10 @@ def test_layouts_of_a_host_have_their_own_templates(spark):
     got = {r.page_id: r.text for r in extract_main_text(pages(spark, rows)).collect()}
     for i in range(8):
         assert got[i] == " ".join(f"w{i}x{j}" for j in range(8)) + f"\n\nMore about {i}"
+
+
+def test_all_of_a_text_is_in_the_slot():
+    a, b = " ".join(f"a{i}" for i in range(35)), " ".join(f"b{i}" for i in range(65))
+    for left, right in ((f"<p>{a}</p>", f"<ul><li>{b}</ul>"), (f"<section>{a}</section>", f"<section class=x>{b}</section>"), ("<h1>Title</h1>", f"<div>{b}</div>"), (f"<p>{a}</p>", f"<blockquote>{b}</blockquote>")):
+        text = main_text(f"<body><main>{left}{right}</main></body>", None, set(), 0.6)
+        assert text.endswith("\n\n" + b) and (a in text or text.startswith("Title"))
