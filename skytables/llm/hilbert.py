@@ -54,10 +54,25 @@ def curve_of(levels: list[Column], bits: int) -> Column:
     return F.get(F.split(F.lit(table), ","), cell.cast("int")).cast("long")
 
 
-def _order_number(column: str) -> Column:
-    """A number that orders like the first seven bytes of the value; NULL before all."""
-    head = F.substring(F.concat(F.encode(F.col(column).cast("string"), "utf-8"), F.unhex(F.lit("00" * 7))), 1, 7)
-    return F.coalesce(F.conv(F.hex(head), 16, 10).cast("long"), F.lit(-1))
+def _edges(groups: DataFrame, column: str, steps: int) -> list[str | None]:
+    """The values at which the rows, ordered by their whole values, reach each step; NULL before all."""
+    values = groups.groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"), F.lit(0).alias("b"))
+    # Ranges of values first, so that no task orders more than one of them.
+    values = materialise(values.repartitionByRange(F.col("v").asc_nulls_first()).withColumn("part", F.spark_partition_id()))
+    parts = _before(values.groupBy("part").agg(F.sum("n").alias("n"), F.lit(0).alias("b")), [], ["part"], "p")
+    within = _before(values, ["part"], ["v"], "v").join(parts.select("part", "n_p"), "part")
+    total = groups.count()
+    reached = F.col("n") + F.col("n_v") + F.col("n_p")
+    step = F.explode(F.sequence(F.lit(1), F.lit(steps - 1))).alias("k")
+    found = within.select("v", reached.alias("upto"), (reached - F.col("n")).alias("from")).select("*", step)
+    at = F.col("k") * F.lit(total)
+    found = found.filter((F.col("from") * steps < at) & (F.col("upto") * steps >= at))
+    return [r.v for r in found.orderBy("k").collect()]
+
+
+def _level(column: str, edges: list) -> Column:
+    beyond = [F.col(column).isNotNull() if e is None else F.coalesce(F.col(column) > F.lit(e), F.lit(False)) for e in edges]
+    return reduce(add, [b.cast("int") for b in beyond], F.lit(0))
 
 
 def hilbert_shards(
@@ -113,14 +128,12 @@ def _unit_positions(units: DataFrame, shards: int, bits: int, rows_per_bucket: i
     groups = units.groupBy("_fp").agg(
         F.sum("n").alias("n"), F.sum("b").alias("b"), F.max("_d2").alias("_d2"), F.min("_d0").alias("_d0"), F.min("_d1").alias("_d1")
     )
-    groups = materialise(groups.select("_fp", "n", "b", _order_number("_d0").alias("_d0"), _order_number("_d1").alias("_d1"), "_d2"))
+    groups = materialise(groups.select("_fp", "n", "b", F.col("_d0").cast("string"), F.col("_d1").cast("string"), "_d2"))
     steps = 1 << bits
     shares = F.array(*[F.lit(k / steps) for k in range(1, steps)])
-    dims = [f"_d{i}" for i in range(3)]
-    found = groups.agg(
-        *[F.percentile_approx(d, shares, 10_000).alias(d) for d in dims], F.count("*").alias("g"), F.sum("b").alias("b")
-    ).first()
-    levels = [reduce(add, [(F.col(d) > c).cast("int") for c in found[d] or ()], F.lit(0)) for d in dims]
+    found = groups.agg(F.percentile_approx("_d2", shares, 10_000).alias("_d2"), F.count("*").alias("g"), F.sum("b").alias("b")).first()
+    edges = {"_d0": _edges(groups, "_d0", steps), "_d1": _edges(groups, "_d1", steps), "_d2": found["_d2"] or ()}
+    levels = [_level(d, e) for d, e in edges.items()]
     digits = max(1, min(7, -(-(max(1, found["g"] // rows_per_bucket)).bit_length() // 4)))
     groups = groups.select("_fp", "n", "b", curve_of(levels, bits).alias("curve"), F.substring("_fp", 1, digits).alias("bucket"))
 

@@ -111,3 +111,11 @@ def test_mixture_edge_rows(documents):
     out = mixed_rows(df.withColumn("domain", F.lit("clash")), levels=levels())
     assert out.columns == [*df.columns, "domain"] and {r.doc_id for r in out.collect()} == {1, 2, None, 4, 5}
     assert mixed_rows(documents([]), levels=levels()).count() == 0
+
+
+def test_sources_with_a_common_beginning_are_told_apart(documents):
+    rows = [(i, f"text {i:05}", "en", f"https://host{i % 16:02}.example.com/") for i in range(320)]
+    where = defaultdict(set)
+    for r in hilbert_shards(documents(rows)).collect():
+        where[r.source].add(r.shard)
+    assert len(where) == 16 and all(len(shards) <= 3 for shards in where.values())
