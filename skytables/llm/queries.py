@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytables.llm.budgets import mix
+from skytables.llm.conversations import repair_conversations
 from skytables.llm.columns import text_of, words
 from skytables.llm.hilbert import hilbert_shards
 from skytables.llm.interpolation import interpolated_scores
@@ -139,3 +140,8 @@ def _repeated_paragraphs(spark, sf_dir):
 @query("op1_main_text")
 def _main_text(spark, sf_dir):
     return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
+@query("op13_conversation_repair")
+def _conversation_repair(spark, sf_dir):
+    return repair_conversations(_table(spark, sf_dir, "conversations"))
