@@ -13,6 +13,7 @@ from skytables.llm.columns import text_of, words
 from skytables.llm.hilbert import hilbert_shards
 from skytables.llm.interpolation import interpolated_scores
 from skytables.llm.outliers import reject_outliers
+from skytables.llm.packing import pack_documents
 from skytables.llm.paragraphs import repeated_paragraphs
 from skytables.llm.secrets import find_secrets
 from skytables.llm.signature_join import near_duplicates
@@ -145,3 +146,8 @@ def _main_text(spark, sf_dir):
 @query("op13_conversation_repair")
 def _conversation_repair(spark, sf_dir):
     return repair_conversations(_table(spark, sf_dir, "conversations"))
+
+
+@query("op11_packing")
+def _packing(spark, sf_dir):
+    return pack_documents(_table(spark, sf_dir, "documents"))
