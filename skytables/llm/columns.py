@@ -35,3 +35,17 @@ def unused(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def slices(texts: list[str], budget: int = 1 << 20) -> list[tuple[int, int]]:
+    """Consecutive (start, end) ranges of ``texts`` of at most ``budget`` characters each, one text at least, so that
+    a tokenizer's per-token objects for one call stay small whatever the size of an Arrow batch."""
+    out, start, held = [], 0, 0
+    for i, text in enumerate(texts):
+        if held and held + len(text) > budget:
+            out.append((start, i))
+            start, held = i, 0
+        held += len(text)
+    if start < len(texts):
+        out.append((start, len(texts)))
+    return out

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skytables.llm.alignment import align_tokenizers
 from skytables.llm.budgets import mix
 from skytables.llm.conversations import repair_conversations
 from skytables.llm.columns import text_of, words
@@ -151,3 +152,8 @@ def _conversation_repair(spark, sf_dir):
 @query("op11_packing")
 def _packing(spark, sf_dir):
     return pack_documents(_table(spark, sf_dir, "documents"))
+
+
+@query("op12_token_alignment")
+def _token_alignment(spark, sf_dir):
+    return align_tokenizers(_table(spark, sf_dir, "documents"))
