@@ -59,7 +59,9 @@ def split_budget(supply: DataFrame, weights: DataFrame, levels: list[str], budge
         weight_left = F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
         level = F.greatest(F.col("_give") - before, F.lit(0)) / weight_left
         own = own.withColumn("_full", F.col("_cap") / F.col("weight") <= level).withColumn("_level", level)
-        shared = F.min(F.when(~F.col("_full"), F.struct(F.col("_cap") / F.col("weight"), "_level"))).over(
+        # the level of the first child in the window's order that is not full; equal cap/weight fall to the path,
+        # as in the order, so that of equal siblings the first decides and none is left out
+        shared = F.min(F.when(~F.col("_full"), F.struct(F.col("_cap") / F.col("weight"), *path, "_level"))).over(
             Window.partitionBy(*parent)
         )["_level"]
         got = F.when(F.col("_full"), F.col("_cap")).otherwise(F.floor(shared * F.col("weight")))

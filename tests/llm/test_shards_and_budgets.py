@@ -89,6 +89,17 @@ def test_budget_goes_to_siblings_before_ancestors(spark, budget):
             assert abs(got[k] - v) <= 2
 
 
+@pytest.mark.parametrize("budget", [150, 299, 1000])
+def test_equal_siblings_get_equal_budgets(spark, budget):
+    supply = {("a", "x"): 100, ("a", "y"): 100, ("a", "z"): 100, ("b", "x"): 100, ("b", "y"): 100, ("b", "z"): 100}
+    leaves = spark.createDataFrame([(*k, v) for k, v in supply.items()], "p string, q string, supply long")
+    nodes = spark.createDataFrame([], "p string, q string, weight long")
+    got = {(r.p, r.q): r.allotted for r in split_budget(leaves, nodes, ["p", "q"], budget, 1).collect()}
+    want = min(budget, 600) / 6
+    assert all(abs(v - want) <= 1 for v in got.values()), got
+    assert min(budget, 600) - len(got) <= sum(got.values()) <= min(budget, 600)
+
+
 def test_prefixes_fit_their_budgets(sample):
     total = sample.select(F.sum(F.size(F.split(F.trim("text"), r"\s+")))).first()[0]
     rows = mix(sample, levels=levels(), budget=total // 2, exponent=0.5, max_epochs=3).select("_row.doc_id", "domain", "language", "n_tokens", "epoch").collect()
