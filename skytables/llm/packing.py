@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skytables.llm.columns import slices
+
 WINDOW = 1024
 END_ID = 0
 SENTENCE_PENALTY = 8
@@ -181,16 +183,19 @@ def _packer(path: str, window: int, block_tokens: int):
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
             texts = [t if t is not None else "" for t in batch.column("text").to_pylist()]
-            for doc_id, enc in zip(doc_ids, tok.encode_batch(texts, add_special_tokens=False)):
-                ids = np.append(np.asarray(enc.ids, dtype=np.int64), END_ID)
-                ends = np.flatnonzero(ends_table[ids[:-1]]) + 1
-                block.append((doc_id, ids, ends))
-                held += len(ids)
-                if held >= block_tokens:
-                    out, used = _pack_block(block, window, sequence)
-                    sequence += used
-                    yield pa.RecordBatch.from_pydict(out, schema=_ARROW)
-                    block, held = [], 0
+            for lo, hi in slices(texts):
+                encoded = tok.encode_batch(texts[lo:hi], add_special_tokens=False)
+                for doc_id, enc in zip(doc_ids[lo:hi], encoded):
+                    ids = np.append(np.asarray(enc.ids, dtype=np.int32), np.int32(END_ID))
+                    ends = np.flatnonzero(ends_table[ids[:-1]]) + 1
+                    block.append((doc_id, ids, ends))
+                    held += len(ids)
+                    if held >= block_tokens:
+                        out, used = _pack_block(block, window, sequence)
+                        sequence += used
+                        yield pa.RecordBatch.from_pydict(out, schema=_ARROW)
+                        block, held = [], 0
+                del encoded
         if block:
             out, _ = _pack_block(block, window, sequence)
             yield pa.RecordBatch.from_pydict(out, schema=_ARROW)
