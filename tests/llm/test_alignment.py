@@ -14,14 +14,18 @@ def _paths():
 
 def _twin(rows):
     """Byte by byte: token ends, groups as runs between common ends, links as all pairs of a group."""
+    from tokenizers import Tokenizer
+
     v = vocabularies(*_paths())
+    hf = Tokenizer.from_file(_paths()[0])
+    hf.encode_special_tokens = True
     per_doc, holders = {}, defaultdict(set)
     for key, (doc_id, text) in enumerate(rows):
         zero = (doc_id, 0, 0, 0, 0, "")
         if not text:
             per_doc[key] = (zero, Counter())
             continue
-        a = v.a.encode(" " + text, add_special_tokens=False).ids
+        a = hf.encode(" " + text, add_special_tokens=False).ids
         b = v.b.encode(text, out_type=int)
         target = (" " + text).encode()
         if b"".join(v.a_bytes[i] for i in a) != target or b"".join(v.b_bytes[i] for i in b) != target or not a or not b:
