@@ -280,3 +280,54 @@ def test_ingest_loads_each_file_once(spark, tmp_path):
     spark.range(10, 15).write.mode("append").parquet(source)
     ingest_stream(spark, source, schema, target, checkpoint, transform=lambda df: df.where("id < 13"))
     assert spark.read.parquet(target).count() == 13
+
+
+def test_fits_table_is_read_by_ranges(spark, rows, tmp_path):
+    """A file above the split size gives several partitions, each a range of rows; the rows are those of one read."""
+    data = [(i, i * 0.5, -i * 0.25, float(i), i % 7, f"n{i}".encode(), b"T" if i % 2 else b"F", tuple(range(i, i + 5)), i % 256) for i in range(3000)]
+    (tmp_path / "big.fits").write_bytes(fits_bytes(FITS_DTYPE, data, FITS_FORMS))
+    schema = fits_schema(spark, str(tmp_path))
+    split = read_fits_table(spark, str(tmp_path), schema, split_bytes=10_000)
+    whole = read_fits_table(spark, str(tmp_path), schema, split_bytes=1 << 30)
+    assert split.rdd.getNumPartitions() == -(-3000 // (10_000 // FITS_DTYPE.itemsize)) and whole.rdd.getNumPartitions() == 1
+    assert rows(split) == rows(whole) and len(rows(split)) == 3000
+
+
+def test_fits_heap_bits_and_complex_columns(spark, tmp_path):
+    import pyarrow as pa
+
+    from workload.staging import encode_fits_heap
+
+    records = [
+        {"id": i, "sizes": list(range(i % 4)), "name": "x" * (i % 9), "prices": [i * 1.5] * (i % 3), "bits": [bool((i >> (9 - b)) & 1) for b in range(10)],
+         "z": {"re": float(i), "im": -float(i)}, "w": [{"re": 1.0 * i, "im": 2.0}, {"re": 0.0, "im": -1.0}]}
+        for i in range(500)
+    ]
+    content = encode_fits_heap(pa.RecordBatch.from_pylist(records))
+    (tmp_path / "heap.fits").write_bytes(content)
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "heap2.fits.gz").write_bytes(gzip.compress(content))
+    schema = fits_schema(spark, str(tmp_path))
+    assert schema["sizes"].dataType == T.ArrayType(T.IntegerType()) and schema["name"].dataType == T.StringType()
+    assert schema["bits"].dataType == T.ArrayType(T.BooleanType()) and schema["w"].dataType.elementType["im"].dataType == T.DoubleType()
+    got = read_fits_table(spark, str(tmp_path), schema, split_bytes=2048)
+    assert got.rdd.getNumPartitions() > 3
+    out = sorted((r.asDict(recursive=True) for r in got.collect()), key=lambda r: r["id"])
+    assert out[::2] == records and out[1::2] == records
+
+
+def test_fits_formats_that_are_not_supported_fail(spark, tmp_path):
+    (tmp_path / "a.fits").write_bytes(fits_bytes(np.dtype([("A", ">i8")]), [(1,)], ["PX(3)"]))
+    with pytest.raises(Exception, match="not supported"):
+        fits_schema(spark, str(tmp_path))
+
+
+def test_fixed_width_ranges_are_whole_records(spark, rows, tmp_path):
+    data = [(float(i), -float(i), i * 0.5) for i in range(10_000)]
+    (tmp_path / "big.dat").write_bytes(b"".join(struct.pack("<3d", *r) for r in data))
+    split = read_fixed_width(spark, str(tmp_path), ["a", "b", "c"], split_bytes=50_000)
+    assert split.rdd.getNumPartitions() == -(-240_000 // (50_000 // 24 * 24))
+    assert sorted(rows(split)) == sorted(data)
+    (tmp_path / "bad.dat").write_bytes(b"\0" * 25)
+    with pytest.raises(Exception, match="whole records"):
+        read_fixed_width(spark, str(tmp_path), ["a", "b", "c"]).collect()

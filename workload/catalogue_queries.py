@@ -18,7 +18,7 @@ from skytables.sources.catalogue_csv import ecsv_schema, read_ecsv, read_otmo_cs
 from skytables.session import shared_dir
 from workload.lightcurve_queries import _database
 from workload.registry import query
-from workload.staging import encode_fits, encode_records, stage_csv, stage_encoded
+from workload.staging import encode_fits, encode_fits_heap, encode_records, stage_csv, stage_encoded
 from workload.views import cell_sql, d, table
 
 _PART_RA = "((p_partkey * 18) % 36000) / 100.0::DOUBLE + 0.0007::DOUBLE"
@@ -268,6 +268,44 @@ def _(spark, sf):
     return read_fits_table(spark, path, fits_schema(spark, path))
 
 
+@query(
+    "read_fits_heap",
+    """SELECT p_partkey AS id, array_to_string(list_transform(range(p_size % 5), lambda i: p_partkey + i), ',') AS sizes, p_name AS name,
+      (p_size % 3)::INTEGER AS n_prices, round((p_size % 3) * p_retailprice, 6) AS prices_sum,
+      array_to_string(list_transform(range(10), lambda i: ((p_partkey % 1024) >> (9 - i)) & 1), '') AS bits,
+      p_size::DOUBLE AS z_re, (-p_size)::DOUBLE AS z_im, p_retailprice::DOUBLE AS w_re, p_size::DOUBLE AS w_im, 1.0::DOUBLE AS w2_im
+    FROM part""",
+)
+def _(spark, sf):
+    """Variable-length (heap), bit and complex columns, read by range in runs of 64 KB."""
+    key, size, price = F.col("p_partkey"), F.col("p_size"), F.col("p_retailprice").cast("double")
+    complex_ = lambda re, im: F.struct(re.alias("re"), im.alias("im"))
+    stored = table(spark, sf, "part").select(
+        key.cast("long").alias("id"),
+        F.transform(F.array_repeat(F.lit(0), size % 5), lambda _, i: (key + i).cast("int")).alias("sizes"),
+        F.col("p_name").alias("name"),
+        F.array_repeat(price, size % 3).alias("prices"),
+        F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.floor((key % 1024) / F.pow(F.lit(2), 9 - i)) % 2 == 1).alias("bits"),
+        complex_(size.cast("float"), (-size).cast("float")).alias("z"),
+        F.array(complex_(price, size.cast("double")), complex_(F.lit(0.0), F.lit(1.0))).alias("w"),
+    )
+    path = stage_encoded(stored, "heap-{:05d}-{:05d}.fits", encode_fits_heap)
+    rows = read_fits_table(spark, path, fits_schema(spark, path), split_bytes=1 << 16)
+    return rows.select(
+        "id",
+        F.array_join("sizes", ",").alias("sizes"),
+        "name",
+        F.size("prices").alias("n_prices"),
+        F.round(F.aggregate("prices", F.lit(0.0), lambda a, x: a + x), 6).alias("prices_sum"),
+        F.array_join(F.transform("bits", lambda b: F.when(b, "1").otherwise("0")), "").alias("bits"),
+        F.col("z.re").cast("double").alias("z_re"),
+        F.col("z.im").cast("double").alias("z_im"),
+        F.col("w")[0]["re"].alias("w_re"),
+        F.col("w")[0]["im"].alias("w_im"),
+        F.col("w")[1]["im"].alias("w2_im"),
+    )
+
+
 @query(
     "explode_bands",
     "SELECT vec_id, label, " + ", ".join(f"embedding[{i + 1}] AS embedding_{i}" for i in range(64)) + " FROM embeddings",

@@ -120,3 +120,50 @@ def encode_archive(batch: pa.RecordBatch) -> bytes:
         info.size = len(text)
         archive.addfile(info, io.BytesIO(text))
     return out.getvalue()
+
+
+def encode_fits_heap(batch: pa.RecordBatch) -> bytes:
+    """A FITS binary table with heap columns, from a batch of: id (long), sizes (list of int, ``PJ``), name (text,
+    ``PA``), prices (list of double, ``QD``), bits (10 booleans, ``10X``), z (one complex of floats, ``C``), w (two
+    complexes of doubles, ``2M``)."""
+    rows = batch.to_pylist()
+    heap = bytearray()
+
+    def put(data: bytes, count: int) -> tuple[int, int]:
+        at = len(heap)
+        heap.extend(data)
+        return count, at
+
+    dtype = np.dtype(
+        [("ID", ">i8"), ("SIZES", ">i4", (2,)), ("NAME", ">i4", (2,)), ("PRICES", ">i8", (2,)), ("BITS", "u1", (2,)),
+         ("Z", ">f4", (2,)), ("W", ">f8", (4,))]
+    )
+    table = np.zeros(len(rows), dtype)
+    longest = {"SIZES": 0, "NAME": 0, "PRICES": 0}
+    for i, row in enumerate(rows):
+        table["ID"][i] = row["id"]
+        table["SIZES"][i] = put(np.array(row["sizes"], ">i4").tobytes(), len(row["sizes"]))
+        name = row["name"].encode()
+        table["NAME"][i] = put(name, len(name))
+        table["PRICES"][i] = put(np.array(row["prices"], ">f8").tobytes(), len(row["prices"]))
+        table["BITS"][i] = np.packbits(np.array(row["bits"], bool), bitorder="big").tolist() + [0] * (2 - -(-len(row["bits"]) // 8))
+        table["Z"][i] = (row["z"]["re"], row["z"]["im"])
+        table["W"][i] = [v for c in row["w"] for v in (c["re"], c["im"])]
+        for key, n in (("SIZES", len(row["sizes"])), ("NAME", len(name)), ("PRICES", len(row["prices"]))):
+            longest[key] = max(longest[key], n)
+    forms = [("ID", "K"), ("SIZES", f"PJ({longest['SIZES']})"), ("NAME", f"PA({longest['NAME']})"), ("PRICES", f"QD({longest['PRICES']})"),
+             ("BITS", "10X"), ("Z", "C"), ("W", "2M")]
+
+    def unit(cards: list[tuple[str, str]]) -> bytes:
+        text = "".join(f"{k:<8}= {v:>20}".ljust(80) for k, v in cards) + "END".ljust(80)
+        return text.ljust(-(-len(text) // 2880) * 2880).encode("ascii")
+
+    gap = 100  # a gap between the rows and the heap, as THEAP allows
+    primary = unit([("SIMPLE", "T"), ("BITPIX", "8"), ("NAXIS", "0"), ("EXTEND", "T")])
+    cards = [("XTENSION", "'BINTABLE'"), ("BITPIX", "8"), ("NAXIS", "2"), ("NAXIS1", str(dtype.itemsize))]
+    cards += [("NAXIS2", str(len(rows))), ("PCOUNT", str(gap + len(heap))), ("GCOUNT", "1"), ("TFIELDS", str(len(forms)))]
+    cards += [("THEAP", str(dtype.itemsize * len(rows) + gap))]
+    for i, (name, form) in enumerate(forms, 1):
+        cards += [(f"TTYPE{i}", f"'{name}'"), (f"TFORM{i}", f"'{form}'")]
+    body = table.tobytes() + bytes(gap) + bytes(heap)
+    return primary + unit(cards) + body.ljust(-(-len(body) // 2880) * 2880, b"\0")
