@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skytables.sources.digests import file_digests
+
 
 def parse_manifest(lines: DataFrame, value: str = "value") -> DataFrame:
     """``checksum filename`` text lines to (filename, expected); empty lines are skipped."""
@@ -15,17 +17,11 @@ def parse_manifest(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def hash_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(filename, md5) of the files below the folder ``path``, computed where they are read.
+    """(filename, md5) of the files below the folder ``path``, streamed where they are read (no size limit).
 
     The name is the path below the folder, so files of one name in two subfolders stay apart.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    )
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    root = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(root).toString()
-    below = F.substring("path", len(root.rstrip("/")) + 2, 1 << 30)
-    return files.select(below.alias("filename"), F.md5("content").alias("md5"))
+    return file_digests(spark, path, glob)
 
 
 def verify_manifest(files: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -331,3 +331,17 @@ def test_fixed_width_ranges_are_whole_records(spark, rows, tmp_path):
     (tmp_path / "bad.dat").write_bytes(b"\0" * 25)
     with pytest.raises(Exception, match="whole records"):
         read_fixed_width(spark, str(tmp_path), ["a", "b", "c"]).collect()
+
+
+def test_digests_stream_large_files(spark, tmp_path):
+    import hashlib
+
+    from skytables.sources import digests
+
+    (tmp_path / "sub").mkdir()
+    big = bytes(range(256)) * 40_000  # 10 MB: more than one chunk
+    (tmp_path / "sub" / "big.bin").write_bytes(big)
+    (tmp_path / "small.gz").write_bytes(b"abc")
+    got = {r.filename: r.md5 for r in hash_files(spark, str(tmp_path)).collect()}
+    assert got == {"sub/big.bin": hashlib.md5(big).hexdigest(), "small.gz": hashlib.md5(b"abc").hexdigest()}
+    assert digests._CHUNK < len(big)
