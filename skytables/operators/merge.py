@@ -59,6 +59,18 @@ def source_observations(obs: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
+def bucketed_source_observations(obs: DataFrame, members: DataFrame, database: str, buckets: int) -> DataFrame:
+    """``source_observations`` over a layout that spares the shuffle of epochs: observations and members are stored in
+    ``database`` bucketed alike by oid, so the join reads bucket i of both in task i. The epochs are written once, as a
+    load writes them anyway; every later join of members (of this or another match) with them moves nothing.
+    """
+    from skytables.sources.tables import write_bucketed
+
+    stored_obs = write_bucketed(obs, f"{database}.obs_by_oid", "oid", buckets)
+    stored_members = write_bucketed(members, f"{database}.members_by_oid", "oid", buckets)
+    return source_observations(stored_obs, stored_members)
+
+
 def unassigned_objects(meta: DataFrame, members: DataFrame) -> DataFrame:
     """Good objects that ended up in no source: matched by some smaller id, but by no root."""
     assigned = members.select("oid").distinct()

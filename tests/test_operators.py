@@ -155,3 +155,27 @@ def test_shared_storage(spark):
     assert shared_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_dir(spark) != shared_dir(spark)
     assert materialise(spark.range(5)).count() == 5
+
+
+def test_bucketed_source_observations_move_no_epochs(spark, tmp_path):
+    import uuid
+
+    from skytables.operators.merge import bucketed_source_observations, source_observations
+    from skytables.sources.tables import create_database
+
+    obs = spark.createDataFrame(
+        [(i % 50, "g", 1, 2, 58000.0 + i, 15.0, 0.1, 0.0, 0, 1) for i in range(400)],
+        "oid long, band string, fieldid int, rcid int, mjd double, mag double, magerr double, clrcoeff double, catflags int, nobs int",
+    )
+    members = spark.createDataFrame([(i - i % 3, i, 10.0 + i, -5.0) for i in range(50)], "sid long, oid long, ra double, dec double")
+    database = f"b_{uuid.uuid4().hex[:8]}"
+    create_database(spark, database, str(tmp_path / "db"))
+    got = bucketed_source_observations(obs, members, database, buckets=4)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a members table too large to send anywhere
+    try:
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "Bucketed: true" in plan, plan
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, source_observations(obs, members).collect()))

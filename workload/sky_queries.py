@@ -21,6 +21,7 @@ from skytables.operators.grid import deredden, sky_grid
 from skytables.operators.lightcurve import good_objects, object_meta_from_olc, observations_view
 from skytables.operators.match import circle_match, cross_match, nearest_matches, nearest_per_group
 from skytables.operators.merge import (
+    bucketed_source_observations,
     mean_position,
     root_objects,
     source_members,
@@ -277,6 +278,12 @@ def _(spark, sf):
     return _rounded(source_observations(obs(spark, sf), members), "ra", "dec")
 
 
+@query("source_observations_bucketed", f"WITH {LINEITEM_CHAIN_SQL} SELECT {_SOURCE_OBS_COLUMNS} FROM source_obs")
+def _(spark, sf):
+    members = source_members(_xmatch(spark, sf))
+    return _rounded(bucketed_source_observations(obs(spark, sf), members, _database(spark), buckets=16), "ra", "dec")
+
+
 @query("source_observations_in_parts", f"WITH {LINEITEM_CHAIN_SQL} SELECT {_SOURCE_OBS_COLUMNS} FROM source_obs")
 def _(spark, sf):
     members = materialise(source_members(_xmatch(spark, sf)))
