@@ -59,6 +59,8 @@ _ARROW = pa.schema(
     + [("groups_sha256", pa.string()), ("pairs", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("m", pa.int64())])))]
 )
 _CACHE: dict = {}
+_DECIMAL = np.array([str(i) for i in range(1 << 16)], dtype=object)  # ids as decimal text
+_NO_PAIRS = (np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int64))
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -113,6 +115,9 @@ class Vocabularies:
                 self.b_bytes.append(piece.replace("▁", " ").encode("utf-8"))
         self.a_len = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
+        # all entries' bytes in one buffer, so that a text's bytes are gathered by one numpy index
+        self.a_buf, self.a_at = np.frombuffer(b"".join(self.a_bytes), np.uint8), np.concatenate(([0], np.cumsum(self.a_len)[:-1]))
+        self.b_buf, self.b_at = np.frombuffer(b"".join(self.b_bytes), np.uint8), np.concatenate(([0], np.cumsum(self.b_len)[:-1]))
 
 
 def vocabularies(a_path: str, b_path: str) -> Vocabularies:
@@ -160,21 +165,49 @@ class CSR:
         right = other_t.indices[starts + within]
         if len(left) == 0:
             return left, right
-        key = np.unique(left.astype(np.int64) * (other_t.n_cols + 1) + right)
+        key = left.astype(np.int64) * (other_t.n_cols + 1) + right
+        if np.all(key[1:] >= key[:-1]):  # rows scattered in order (interval incidences): equal pairs are adjacent
+            key = key[np.append(True, key[1:] != key[:-1])]
+        else:
+            key = np.unique(key)
         return key // (other_t.n_cols + 1), key % (other_t.n_cols + 1)
 
 
+def _gathered(buf: np.ndarray, at: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
+    """The bytes of the ids one after the other."""
+    total = int(lengths.sum())
+    starts = np.repeat(at[ids] - (np.cumsum(lengths) - lengths), lengths)
+    return buf[starts + np.arange(total)].tobytes()
+
+
+def _described(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> str:
+    """``a1,a2|b1;a3|b2,b3``: each group's A ids, then its B ids, in order; built by one join."""
+    same_a = np.append(group_a[1:] == group_a[:-1], False)
+    same_b = np.append(group_b[1:] == group_b[:-1], False)
+    sep_a = np.where(same_a, ",", "|")
+    sep_b = np.where(same_b, ",", ";")
+    sep_b[-1] = ""
+    order = np.lexsort((np.concatenate((np.arange(len(a)), np.arange(len(b)))), np.repeat([0, 1], [len(a), len(b)]), np.concatenate((group_a, group_b))))
+    words = _DECIMAL[np.concatenate((a, b))[order]]
+    seps = np.concatenate((sep_a, sep_b))[order]
+    out = np.empty(2 * len(order), dtype=object)
+    out[0::2], out[1::2] = words, seps
+    return "".join(out.tolist())
+
+
 def align(v: Vocabularies, text: str | None, a_ids: list[int], b_ids: list[int]) -> dict | None:
-    """Groups, links and id pairs of one text; None when it has no tokens."""
+    """Groups, links and id pairs (arrays a, b, m) of one text; None when it has no tokens."""
     if not text:
         return None
     target = (" " + text).encode("utf-8")
     a = np.asarray(a_ids, dtype=np.int64)
     b = np.asarray(b_ids, dtype=np.int64)
+    if not len(a) or not len(b):
+        return None
     la, lb = v.a_len[a], v.b_len[b]
-    if la.sum() != len(target) or lb.sum() != len(target) or not len(a) or not len(b):
+    if la.sum() != len(target) or lb.sum() != len(target):
         return None
-    if b"".join(v.a_bytes[i] for i in a_ids) != target or b"".join(v.b_bytes[i] for i in b_ids) != target:
+    if _gathered(v.a_buf, v.a_at, la, a) != target or _gathered(v.b_buf, v.b_at, lb, b) != target:
         return None
     bytes_a, bytes_b = CSR.from_lengths(la, len(target)), CSR.from_lengths(lb, len(target))
     overlaps = len(bytes_a.times_transpose(bytes_b)[0])
@@ -184,20 +217,14 @@ def align(v: Vocabularies, text: str | None, a_ids: list[int], b_ids: list[int])
     group_b = np.searchsorted(cuts, ends_b, side="left")
     left, right = CSR.from_labels(group_a, len(cuts)).times_transpose(CSR.from_labels(group_b, len(cuts)))
     pair_key, mult = np.unique(a[left] * 65536 + b[right], return_counts=True)
-    bounds_a = np.searchsorted(group_a, np.arange(len(cuts) + 1))
-    bounds_b = np.searchsorted(group_b, np.arange(len(cuts) + 1))
-    a_text, b_text = a.astype(str), b.astype(str)
-    described = ";".join(
-        ",".join(a_text[bounds_a[g] : bounds_a[g + 1]]) + "|" + ",".join(b_text[bounds_b[g] : bounds_b[g + 1]]) for g in range(len(cuts))
-    )
     return {
         "n_a": len(a),
         "n_b": len(b),
         "n_groups": len(cuts),
         "n_links": len(left),
         "n_overlaps": overlaps,
-        "groups_sha256": hashlib.sha256(described.encode()).hexdigest(),
-        "pairs": [{"a": int(k // 65536), "b": int(k % 65536), "m": int(m)} for k, m in zip(pair_key, mult)],
+        "groups_sha256": hashlib.sha256(_described(a, b, group_a, group_b).encode()).hexdigest(),
+        "pairs": ((pair_key // 65536).astype(np.int32), (pair_key % 65536).astype(np.int32), mult.astype(np.int64)),
     }
 
 
@@ -215,7 +242,8 @@ def _aligner(a_path: str, b_path: str):
             for lo, hi in slices(present):
                 a_enc = v.a.encode_ordinary_batch([" " + t for t in present[lo:hi]], num_threads=1)
                 b_enc = v.b.encode(present[lo:hi], out_type=int)
-                out = {name: [] for name in _ARROW.names}
+                out = {name: [] for name in _ARROW.names if name != "pairs"}
+                parts: list[tuple] = []
                 for doc_id, text, ea, eb in zip(doc_ids[lo:hi], texts[lo:hi], a_enc, b_enc):
                     found = align(v, text, ea, eb)
                     out["_row"].append(row)
@@ -224,9 +252,15 @@ def _aligner(a_path: str, b_path: str):
                     for key in ("n_a", "n_b", "n_groups", "n_links", "n_overlaps"):
                         out[key].append(found[key] if found else 0)
                     out["groups_sha256"].append(found["groups_sha256"] if found else "")
-                    out["pairs"].append(found["pairs"] if found else [])
+                    parts.append(found["pairs"] if found else _NO_PAIRS)
                 del a_enc, b_enc
-                yield pa.RecordBatch.from_pydict(out, schema=_ARROW)
+                sizes = np.array([len(p[0]) for p in parts], dtype=np.int32)
+                flat = pa.StructArray.from_arrays(
+                    [pa.array(np.concatenate([p[k] for p in parts])) for k in range(3)], names=["a", "b", "m"]
+                )
+                pairs = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), flat)
+                columns = [pa.array(out[name], type=field.type) for name, field in zip(_ARROW.names, _ARROW) if name != "pairs"]
+                yield pa.RecordBatch.from_arrays(columns + [pairs.cast(_ARROW.field("pairs").type)], schema=_ARROW)
 
     return run
 
