@@ -179,3 +179,33 @@ def test_bucketed_source_observations_move_no_epochs(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "SortMergeJoin" in plan and "Exchange" not in plan and "Bucketed: true" in plan, plan
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, source_observations(obs, members).collect()))
+
+
+def test_oid_range_prunes_field_folders(spark, tmp_path):
+    from skytables.operators.filters import oid_range
+
+    rows = [(f * 10**12 + b * 10**10 + i, f, float(i)) for f in range(200, 210) for b in (1, 2) for i in range(5)]
+    path = str(tmp_path / "obs")
+    spark.createDataFrame(rows, "oid long, fieldid int, mjd double").write.partitionBy("fieldid").parquet(path)
+    stored = spark.read.parquet(path)
+    begin, end = 203 * 10**12 + 2 * 10**10, 206 * 10**12
+    sliced = oid_range(stored, begin, end)
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(fieldid" in plan and "(fieldid#" in plan.split("PartitionFilters:")[1].split("]")[0]
+    scan = sliced._jdf.queryExecution().executedPlan()
+    sliced.collect()
+    read = [int(n.metrics().apply("numFiles").value()) for n in _leaves(scan) if n.metrics().contains("numFiles")]
+    import os
+
+    files = {f: len([n for n in os.listdir(f"{path}/fieldid={f}") if n.endswith(".parquet")]) for f in range(200, 210)}
+    assert read == [files[203] + files[204] + files[205]] and read[0] < sum(files.values())
+    assert sorted(map(tuple, sliced.select("oid", "mjd").collect())) == sorted((o, m) for o, f, m in rows if begin <= o < end)
+    whole = oid_range(stored.drop("fieldid"), begin, end)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, sliced.select("oid", "mjd").collect()))
+
+
+def _leaves(plan):
+    children = plan.children()
+    if children.size() == 0:
+        return [plan]
+    return [leaf for i in range(children.size()) for leaf in _leaves(children.apply(i))]
