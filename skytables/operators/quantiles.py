@@ -102,3 +102,23 @@ def partitioned_run(
     different keys on their own, so that its results over all slices add up to the whole.
     """
     return job(df if interval == "all" else slice_of(df, column, parts, interval))
+
+
+def kll_rank_error(k: int) -> float:
+    """A priori bound (99 % confidence) of a KLL sketch's normalised rank error for its parameter ``k``."""
+    return 2.296 / k**0.9723
+
+
+def stored_sketches(df: DataFrame, column: str, by: list[str], k: int = 1000) -> DataFrame:
+    """One mergeable KLL sketch of ``column`` (as double) and the row count per group of ``by``: to be written at load
+    beside the table, so that later quantiles of any union of groups read the sketches, not the rows. NULLs are left out."""
+    values = F.col(column).cast("double")
+    return df.where(values.isNotNull()).groupBy(*by).agg(F.kll_sketch_agg_double(values, k).alias("sketch"), F.count("*").alias("rows"))
+
+
+def sketch_quantiles(sketches: DataFrame, levels: list[float], by: list[str] | None = None) -> DataFrame:
+    """Quantiles from stored sketches, merged over the groups that ``by`` joins (all without it): ``quantiles`` in the
+    order of ``levels`` and ``rows``. Reads only the sketch table; the rank error is that of the sketch's ``k``."""
+    merged = sketches.groupBy(*(by or [])).agg(F.kll_merge_agg_double("sketch").alias("_merged"), F.sum("rows").alias("rows"))
+    wanted = F.array(*[F.lit(float(q)) for q in levels])
+    return merged.select(*(by or []), F.kll_sketch_get_quantile_double("_merged", wanted).alias("quantiles"), "rows")

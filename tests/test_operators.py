@@ -209,3 +209,23 @@ def _leaves(plan):
     if children.size() == 0:
         return [plan]
     return [leaf for i in range(children.size()) for leaf in _leaves(children.apply(i))]
+
+
+def test_quantiles_from_stored_sketches_read_no_rows(spark, tmp_path):
+    from skytables.operators.quantiles import kll_rank_error, sketch_quantiles, stored_sketches
+
+    values = [(g, b, float((i * 7919) % 10007)) for g in range(3) for b in range(4) for i in range(2500 * (g + 1))]
+    rows = spark.createDataFrame(values, "g int, b int, v double")
+    rows.write.parquet(str(tmp_path / "rows"))
+    stored = stored_sketches(spark.read.parquet(str(tmp_path / "rows")), "v", ["g", "b"], k=400)
+    stored.write.parquet(str(tmp_path / "sketches"))
+    found = sketch_quantiles(spark.read.parquet(str(tmp_path / "sketches")), [0.1, 0.5, 0.9], by=["g"])
+    files = found.inputFiles()
+    assert files and all("/sketches/" in f for f in files)
+    for r in found.collect():
+        own = sorted(v for g, _, v in values if g == r.g)
+        assert r.rows == len(own)
+        for q, x in zip([0.1, 0.5, 0.9], r.quantiles):
+            below, upto = sum(v < x for v in own), sum(v <= x for v in own)
+            slack = len(own) * kll_rank_error(400) + 1
+            assert below <= q * len(own) + slack and upto >= q * len(own) - slack

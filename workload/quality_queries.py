@@ -15,10 +15,10 @@ from skytables.operators.quality import (
     violations_length,
     violations_order,
 )
-from skytables.operators.quantiles import exact_quantiles, quantile_grid, quantiles
+from skytables.operators.quantiles import exact_quantiles, kll_rank_error, quantile_grid, quantiles, sketch_quantiles, stored_sketches
 from skytables.plans.exposures import exposure_tables, exposures
 from skytables.schemas import EXPOSURES
-from skytables.session import shared_dir
+from skytables.session import materialise, shared_dir
 from skytables.sources.audit import extract_links, hash_files, parse_manifest, verify_manifest
 from skytables.sources.tables import clustered, write_table
 from skytables.streaming.ingest import ingest_stream
@@ -298,6 +298,25 @@ def _(spark, sf):
     return rows.groupBy("fieldid", "band").agg(n.alias("epochs"), within.alias("within"))
 
 
+_KLL_K = 1000
+
+
+@query("quantiles_from_sketches", f"""WITH {OBS_SQL} SELECT fieldid, count(*) AS epochs, true AS within FROM obs GROUP BY fieldid""")
+def _(spark, sf):
+    """Sketches stored per field and band at load; quantiles per field merged from them alone, then held against the
+    epochs: every rank lies within the sketch's bound."""
+    epochs = obs(spark, sf)
+    sketches = materialise(stored_sketches(epochs, "mjd", ["fieldid", "band"], k=_KLL_K))
+    found = sketch_quantiles(sketches, _LEVELS, by=["fieldid"])
+    rows = epochs.select("fieldid", "mjd").join(found, "fieldid")
+    n, within = F.count("*"), F.lit(True)
+    for i, q in enumerate(_LEVELS):
+        value = F.get("quantiles", F.lit(i))
+        slack = n * kll_rank_error(_KLL_K) + 1
+        within = within & (F.count_if(F.col("mjd") < value) <= q * n + slack) & (F.count_if(F.col("mjd") <= value) >= q * n - slack)
+    return rows.groupBy("fieldid").agg(n.alias("epochs"), within.alias("within"))
+
+
 @query(
     "quantile_grid",
     f"""WITH {META_SQL}, edges AS (SELECT quantile_disc(oid, 0.25) AS a, quantile_disc(oid, 0.5) AS b,
