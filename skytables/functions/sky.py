@@ -128,3 +128,24 @@ def radians_to_degrees(df: DataFrame, ra: str = "ra_rad", dec: str = "dec_rad")
 def position_hash(ra="ra", dec="dec") -> Column:
     """64-bit key of a position."""
     return F.xxhash64(_col(ra), _col(dec))
+
+
+def tangent_to_sky(ra0, dec0, xi, eta) -> tuple[Column, Column]:
+    """Sky position (degrees, RA in [0, 360)) of the tangent-plane offsets ``xi`` (east), ``eta`` (north), in degrees
+    of the gnomonic projection about the centre (``ra0``, ``dec0``). Exact for any centre, the poles and RA 0 included."""
+    ra0, dec0, xi, eta = (F.radians(_col(c)) for c in (ra0, dec0, xi, eta))
+    denominator = F.cos(dec0) - eta * F.sin(dec0)
+    ra = ra0 + F.atan2(xi, denominator)
+    dec = F.atan2(F.sin(dec0) + eta * F.cos(dec0), F.sqrt(xi * xi + denominator * denominator))
+    return F.pmod(F.degrees(ra), F.lit(360.0)), F.degrees(dec)
+
+
+def sky_to_tangent(ra0, dec0, ra, dec) -> tuple[Column, Column]:
+    """Inverse of :func:`tangent_to_sky`: offsets (degrees) of a position on the tangent plane about the centre;
+    NULL for positions 90 degrees or more from the centre, which the projection does not reach."""
+    ra0, dec0, ra, dec = (F.radians(_col(c)) for c in (ra0, dec0, ra, dec))
+    cos_c = F.sin(dec0) * F.sin(dec) + F.cos(dec0) * F.cos(dec) * F.cos(ra - ra0)
+    xi = F.cos(dec) * F.sin(ra - ra0) / cos_c
+    eta = (F.cos(dec0) * F.sin(dec) - F.sin(dec0) * F.cos(dec) * F.cos(ra - ra0)) / cos_c
+    seen = cos_c > 0
+    return F.when(seen, F.degrees(xi)), F.when(seen, F.degrees(eta))

@@ -40,6 +40,18 @@ def exposures_by_quadrant(exposures: DataFrame, centres: DataFrame) -> DataFrame
     return placed.join(quadrants, "field")
 
 
+def quadrant_centres(fields: DataFrame, offsets: list[tuple[int, float, float]]) -> DataFrame:
+    """(fieldid, rcid, ra, dec): the centre of every quadrant of every field, from the field centres (fieldid, ra, dec)
+    and the focal-plane layout, ``offsets`` of (rcid, xi, eta) in degrees on the tangent plane. The layout is a short
+    list of the camera, given as literals: each field row is unrolled into its quadrants, with no join."""
+    from skytables.functions.sky import tangent_to_sky
+
+    layout = F.array(*[F.struct(F.lit(r).cast("smallint").alias("rcid"), F.lit(float(x)).alias("xi"), F.lit(float(y)).alias("eta")) for r, x, y in offsets])
+    unrolled = fields.select("fieldid", F.col("ra").alias("_ra0"), F.col("dec").alias("_dec0"), F.explode(layout).alias("_q"))
+    ra, dec = tangent_to_sky("_ra0", "_dec0", "_q.xi", "_q.eta")
+    return unrolled.select("fieldid", F.col("_q.rcid").alias("rcid"), ra.alias("ra"), dec.alias("dec"))
+
+
 def exposures_per_field(exposures: DataFrame) -> DataFrame:
     """One row per exposure: what is common to its quadrants."""
     common = [c for c in exposures.columns if c != "expid" and c not in _DROPPED]

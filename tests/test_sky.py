@@ -157,3 +157,24 @@ def test_null_positions(spark):
     ).first()
     assert (row.cells, row.distances) == (1, 1)
     assert with_neighbour_cells(df, 0.0001, FINE).select("ra").distinct().count() == 1
+
+
+def test_tangent_plane_round_trip(spark):
+    from skytables.functions.sky import sky_to_tangent, tangent_to_sky
+
+    centres = [(0.0, 0.0), (359.9, 10.0), (0.1, -45.0), (180.0, 89.99), (33.0, -90.0), (250.0, 90.0)]
+    offsets = [(-0.9, -0.9), (0.9, -0.45), (0.0, 0.0), (0.3, 0.9), (-2.0, 1.5)]
+    df = spark.createDataFrame([(a, d, x, y) for a, d in centres for x, y in offsets], "ra0 double, dec0 double, xi double, eta double")
+    ra, dec = tangent_to_sky("ra0", "dec0", "xi", "eta")
+    placed = df.select("*", ra.alias("ra"), dec.alias("dec"))
+    xi, eta = sky_to_tangent("ra0", "dec0", "ra", "dec")
+    for r in placed.select("*", xi.alias("xi2"), eta.alias("eta2")).collect():
+        assert 0 <= r.ra < 360 and -90 <= r.dec <= 90
+        assert abs(r.xi2 - r.xi) < 1e-9 and abs(r.eta2 - r.eta) < 1e-9, r
+    # the distance from the centre is atan of the offset's length
+    import math
+
+    from skytables.functions.sky import angular_distance
+
+    for r in placed.select("*", angular_distance("ra0", "dec0", "ra", "dec").alias("sep")).collect():
+        assert abs(r.sep - math.degrees(math.atan(math.hypot(math.radians(r.xi), math.radians(r.eta))))) < 1e-9

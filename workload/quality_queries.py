@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytables.functions.time import mid_exposure_helio, to_mjd
-from skytables.operators.exposures import clean_exposures, exposures_by_quadrant, exposures_per_field
+from skytables.operators.exposures import clean_exposures, exposures_by_quadrant, exposures_per_field, quadrant_centres
 from skytables.operators.quality import (
     check_control_sums,
     check_nullability,
@@ -110,6 +110,32 @@ def _centres(spark, sf) -> DataFrame:
     )
 
 
+# A made-up camera of four quadrants, in degrees east and north of the field centre.
+_LAYOUT = [(0, -0.45, -0.45), (1, 0.45, -0.45), (2, -0.45, 0.45), (3, 0.45, 0.45)]
+_FIELD_SQL = """SELECT 200 + n_nationkey AS fieldid, CASE WHEN n_nationkey = 0 THEN 0.2::DOUBLE ELSE n_nationkey * 14.0::DOUBLE END AS ra0,
+  CASE WHEN n_nationkey = 24 THEN 89.8::DOUBLE WHEN n_nationkey = 23 THEN -90.0::DOUBLE ELSE n_nationkey * 3.0::DOUBLE - 30.0::DOUBLE END AS dec0
+  FROM nation"""
+
+
+@query(
+    "quadrant_centres",
+    f"""WITH f AS ({_FIELD_SQL}), q AS (SELECT * FROM (VALUES {", ".join(f"({r}, {x}, {y})" for r, x, y in _LAYOUT)}) t(rcid, xi, eta)),
+p AS (SELECT fieldid, rcid::SMALLINT AS rcid, radians(ra0) AS a, radians(dec0) AS d, radians(xi::DOUBLE) AS x, radians(eta::DOUBLE) AS y FROM f, q)
+SELECT fieldid, rcid, round((((degrees(a + atan2(x, cos(d) - y * sin(d)))) % 360) + 360) % 360, 9) AS ra,
+  round(degrees(atan2(sin(d) + y * cos(d), sqrt(x * x + (cos(d) - y * sin(d)) * (cos(d) - y * sin(d))))), 9) AS dec FROM p""",
+)
+def _(spark, sf):
+    """Quadrant centres from field centres by the tangent-plane layout; fields at RA 0 and at both poles included."""
+    key = F.col("n_nationkey")
+    fields = table(spark, sf, "nation").select(
+        (200 + key).alias("fieldid"),
+        F.when(key == 0, d(0.2)).otherwise(key * d(14)).alias("ra"),
+        F.when(key == 24, d(89.8)).when(key == 23, d(-90.0)).otherwise(key * d(3) - d(30)).alias("dec"),
+    )
+    out = quadrant_centres(fields, _LAYOUT)
+    return out.withColumns({c: F.round(c, 9) for c in ("ra", "dec")})
+
+
 @query(
     "clean_exposures",
     f"WITH {_EXPOSURES_SQL} SELECT expid, field, band, exptime, airmass, {_OPTIONAL} FROM cleaned",
