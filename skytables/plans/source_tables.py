@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from skytables.operators.match import circle_match, nearest_matches, nearest_per_group
 from skytables.operators.merge import source_members, source_observations
-from skytables.operators.quantiles import partitioned_run, slice_of
+from skytables.operators.quantiles import partitioned_run, quantile_grid, slice_of
 from skytables.operators.summary import source_meta, source_meta_of_members, source_meta_short
 from skytables.session import materialise
-from skytables.sources.tables import create_database, drop_table, write_table
+from skytables.sources.tables import create_database, drop_table, table_exists, write_table
 
 
 @dataclass
@@ -53,6 +53,14 @@ def source_observations_in_parts(
     return partitioned_run(members, "sid", lambda part: source_observations(obs, part), parts, interval)
 
 
+_PARTS = "skytables.parts"
+
+
+def _parts_of(spark: SparkSession, name: str) -> str | None:
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == _PARTS).collect()
+    return found[0]["value"] if found else None
+
+
 def _store_slices(
     df: DataFrame,
     key: str,
@@ -63,15 +71,33 @@ def _store_slices(
     parts: int,
     interval: int | str,
 ) -> DataFrame:
-    """The job's result as a table; with several parts, one slice of keys after the other, each a partition of its own."""
+    """The job's result as a table; with several parts, one slice of keys after the other, each a partition of its own.
+
+    For all slices, ``on_exists`` holds as for one write: an existing table fails, is kept, is dropped first, or has its
+    slices replaced. One slice replaces its own partition, emptied first. The number of parts is kept with the table, and
+    a write by another number of parts is refused unless the table is dropped: slices of two cuts would overlap.
+    Slice edges are computed once for all slices.
+    """
+    spark = df.sparkSession
     if parts == 1:
         return write_table(job(df), name, on_exists, sort_by=sort_by)
-    if on_exists == "drop" and interval == "all":
-        drop_table(df.sparkSession, name, missing_ok=True)
+    exists = table_exists(spark, name)
+    if exists and interval == "all":
+        if on_exists == "fail":
+            raise ValueError(f"table {name} exists")
+        if on_exists == "keep":
+            return spark.table(name)
+        if on_exists == "drop":
+            drop_table(spark, name)
+            exists = False
+    if exists and _parts_of(spark, name) != str(parts):
+        raise ValueError(f"table {name} was written in {_parts_of(spark, name)} parts, not {parts}; drop it to cut it anew")
+    edges = quantile_grid(df, key, parts, exact=True)
     for number in range(parts) if interval == "all" else [interval]:
-        rows = job(slice_of(df, key, parts, number)).withColumn("slice", F.lit(number))
-        write_table(rows, name, "replace", partition_by=["slice"], sort_by=sort_by)
-    return df.sparkSession.table(name)
+        rows = job(slice_of(df, key, parts, number, edges)).withColumn("slice", F.lit(number))
+        write_table(rows, name, "replace", partition_by=["slice"], sort_by=sort_by, covers=[{"slice": number}])
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_PARTS}' = '{parts}')")
+    return spark.table(name)
 
 
 def source_tables(

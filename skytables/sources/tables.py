@@ -44,12 +44,14 @@ def write_table(
     on_exists: str = "fail",
     partition_by: list[str] | None = None,
     sort_by: list[str] | None = None,
+    covers: list[dict] | None = None,
 ) -> DataFrame:
     """Create the Parquet table ``name`` from ``df`` and return it.
 
     An existing table makes the write fail, is kept and the write skipped, or is dropped first. With ``replace``, the
     partitions that ``df`` has rows of are replaced and all others stay, so a table can be loaded part by part and a part
-    can be loaded again; this needs ``partition_by``.
+    can be loaded again; this needs ``partition_by``. ``covers`` names partitions (column to value) the load stands for:
+    they are emptied first, so a part whose new load has no rows does not keep its old ones.
     """
     modes = {"fail": "errorifexists", "keep": "ignore", "drop": "overwrite", "replace": "overwrite"}
     if on_exists not in modes:
@@ -59,6 +61,9 @@ def write_table(
         if not partition_by:
             raise ValueError("replace works on partitions: partition_by is missing")
         if table_exists(df.sparkSession, name):
+            for spec in covers or []:
+                values = ", ".join(f"{k} = {_literal(v)}" for k, v in spec.items())
+                df.sparkSession.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({values})")
             return _replace_partitions(rows, name)
     writer = rows.write.format("parquet").mode(modes[on_exists])
     if partition_by:
@@ -67,6 +72,10 @@ def write_table(
     return df.sparkSession.table(name)
 
 
+def _literal(value) -> str:
+    return "'" + str(value).replace("'", "''") + "'" if isinstance(value, str) else str(int(value))
+
+
 def _replace_partitions(rows: DataFrame, name: str) -> DataFrame:
     spark = rows.sparkSession
     before = spark.conf.get(_OVERWRITE_MODE)

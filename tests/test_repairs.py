@@ -155,3 +155,46 @@ def test_a_hot_cell_is_split(spark):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert "skew=true" in plan
+
+
+def _slices_job(spark, tmp_path, name, parts, on_exists, interval="all", keys=100):
+    from skytables.plans.source_tables import _store_slices
+
+    df = spark.createDataFrame([(k, k * 2) for k in range(keys)], "sid long, v long")
+    return _store_slices(df, "sid", lambda part: part, name, on_exists, ["sid"], parts, interval)
+
+
+def test_slices_obey_their_policy(spark, tmp_path):
+    import uuid
+
+    from skytables.sources.tables import create_database
+
+    database = f"s_{uuid.uuid4().hex[:8]}"
+    create_database(spark, database, str(tmp_path / "db"))
+    name = f"{database}.t"
+    assert _slices_job(spark, tmp_path, name, 5, "fail").count() == 100
+    with pytest.raises(ValueError, match="exists"):
+        _slices_job(spark, tmp_path, name, 5, "fail")
+    assert _slices_job(spark, tmp_path, name, 5, "keep", keys=10).count() == 100  # kept as it was
+    with pytest.raises(ValueError, match="5 parts, not 3"):
+        _slices_job(spark, tmp_path, name, 3, "replace")
+    with pytest.raises(ValueError, match="5 parts, not 3"):
+        _slices_job(spark, tmp_path, name, 3, "replace", interval=1)
+    again = _slices_job(spark, tmp_path, name, 3, "drop")
+    assert again.count() == 100 and again.select("slice").distinct().count() == 3
+    assert _slices_job(spark, tmp_path, name, 3, "replace", interval=2).count() == 100
+
+
+def test_replace_empties_the_partitions_it_covers(spark, tmp_path):
+    import uuid
+
+    from skytables.sources.tables import create_database, write_table
+
+    database = f"r_{uuid.uuid4().hex[:8]}"
+    create_database(spark, database, str(tmp_path / "db"))
+    name = f"{database}.t"
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, part string")
+    write_table(rows, name, "replace", partition_by=["part"])
+    nothing = spark.createDataFrame([], "k long, part string")
+    got = write_table(nothing, name, "replace", partition_by=["part"], covers=[{"part": "b"}])
+    assert sorted(r.k for r in got.collect()) == [1, 3]
