@@ -439,6 +439,18 @@ def _(spark, sf):
     return write_table(obs(spark, sf), name, on_exists="keep", partition_by=["fieldid"])
 
 
+@query("object_meta_incremental", f"WITH {META_SQL} SELECT oid, nobs, ngoodobs, band, fieldid, rcid, ra, dec, cell, durgood, mingoodmag, maxgoodmag, meangoodmag FROM meta")
+def _(spark, sf):
+    """Epoch files taken three at a time into merged metadata, then a second run and a replayed batch: equal to one load."""
+    from skytables.streaming.state import ingest_object_meta, merge_batch
+
+    rows = obs(spark, sf)
+    source, state, checkpoint = stage_csv(rows), shared_dir(spark), shared_dir(spark)
+    ingest_object_meta(spark, source, rows.schema, state, checkpoint, fmt="csv", max_files=3)
+    merge_batch(state)(rows.limit(0), 0)  # a replay of the first batch is skipped
+    return ingest_object_meta(spark, source, rows.schema, state, checkpoint, fmt="csv")
+
+
 @query("ingest_stream", f"WITH {OBS_SQL} SELECT {_OBS_COLUMNS} FROM obs")
 def _(spark, sf):
     """Loaded by two runs over the same files, which must not load them twice."""
