@@ -149,3 +149,29 @@ def sky_to_tangent(ra0, dec0, ra, dec) -> tuple[Column, Column]:
     eta = (F.cos(dec0) * F.sin(dec) - F.sin(dec0) * F.cos(dec) * F.cos(ra - ra0)) / cos_c
     seen = cos_c > 0
     return F.when(seen, F.degrees(xi)), F.when(seen, F.degrees(eta))
+
+
+# The rotation from equatorial (J2000) to galactic coordinates, rows x, y, z.
+GALACTIC = (
+    (-0.0548755604162154, -0.8734370902348850, -0.4838350155487132),
+    (0.4941094278755837, -0.4448296299600112, 0.7469822444972189),
+    (-0.8676661490190047, -0.1980763734312015, 0.4559837761750669),
+)
+
+
+def galactic(ra, dec) -> tuple[Column, Column]:
+    """Galactic longitude in [0, 360) and latitude, in degrees, of an equatorial position."""
+    a, d = F.radians(_col(ra)), F.radians(_col(dec))
+    v = (F.cos(d) * F.cos(a), F.cos(d) * F.sin(a), F.sin(d))
+    gx, gy, gz = (row[0] * v[0] + row[1] * v[1] + row[2] * v[2] for row in GALACTIC)
+    return F.pmod(F.degrees(F.atan2(gy, gx)), F.lit(360.0)), F.degrees(F.asin(F.least(F.greatest(gz, F.lit(-1.0)), F.lit(1.0))))
+
+
+def polar_pixel(l, b, size: int) -> tuple[Column, Column, Column]:
+    """Hemisphere (1 north, -1 south) and pixel coordinates of a galactic position on a ``size`` x ``size`` Lambert
+    equal-area map of each galactic hemisphere centred on its pole, the rim being the plane (b = 0)."""
+    l, b = F.radians(_col(l)), _col(b)
+    n = F.when(b >= 0, F.lit(1)).otherwise(F.lit(-1))
+    r = F.sqrt(F.greatest(F.lit(1.0) - n * F.sin(F.radians(b)), F.lit(0.0)))
+    half = size / 2
+    return n, r * F.cos(l) * half + (half - 0.5), -n * r * F.sin(l) * half + (half - 0.5)

@@ -178,3 +178,28 @@ def test_tangent_plane_round_trip(spark):
 
     for r in placed.select("*", angular_distance("ra0", "dec0", "ra", "dec").alias("sep")).collect():
         assert abs(r.sep - math.degrees(math.atan(math.hypot(math.radians(r.xi), math.radians(r.eta))))) < 1e-9
+
+
+def test_polar_map_sampling_is_bilinear(spark):
+    from skytables.functions.sky import GALACTIC, galactic, polar_pixel
+    from skytables.plans.dust import sample_polar_map
+
+    size = 8
+    pixels = spark.createDataFrame(
+        [(h, x, y, 1.0 + 2.0 * x + 3.0 * y + (10.0 if h < 0 else 0.0)) for h in (1, -1) for x in range(size) for y in range(size)],
+        "hemisphere int, x int, y int, value double",
+    )
+    # the galactic poles (third row of the rotation, as equatorial unit vectors) and some points
+    import math
+
+    gz = GALACTIC[2]
+    north = (math.degrees(math.atan2(gz[1], gz[0])) % 360, math.degrees(math.asin(gz[2])))
+    south = ((north[0] + 180) % 360, -north[1])
+    points = spark.createDataFrame([(0, *north), (1, *south), (2, 10.0, 20.0), (3, 200.0, -60.0), (4, 359.99, 0.0)], "cell long, ra double, dec double")
+    got = {r.cell: r.eb_v for r in sample_polar_map(points, pixels, size).collect()}
+    assert abs(got[0] - (1 + 5 * 3.5)) < 1e-6 and abs(got[1] - (11 + 5 * 3.5)) < 1e-6
+    l, b = galactic("ra", "dec")
+    h, x, y = polar_pixel(l, b, size)
+    for r in points.select("cell", h.alias("h"), x.alias("x"), y.alias("y")).collect():
+        xc, yc = min(max(r.x, 0), size - 1), min(max(r.y, 0), size - 1)
+        assert abs(got[r.cell] - (1 + 2 * xc + 3 * yc + (10 if r.h < 0 else 0))) < 1e-6

@@ -9,6 +9,7 @@ from skytables.functions.extinction import COEFFICIENTS, extinction_columns
 from skytables.functions.sky import (
     COARSE,
     FINE,
+    GALACTIC,
     angular_distance,
     normalize_ra,
     position_hash,
@@ -29,7 +30,7 @@ from skytables.operators.merge import (
     unassigned_objects,
 )
 from skytables.operators.summary import source_meta, source_meta_short
-from skytables.plans.dust import dust_grid, dust_table
+from skytables.plans.dust import dust_grid, dust_table, sample_polar_map
 from skytables.plans.source_tables import (
     build_sources,
     circle_match_in_parts,
@@ -440,6 +441,46 @@ def _(spark, sf):
     return _rounded(dust_grid(spark, _dust_values(spark, sf), GRID_LEVEL), "ra", "dec")
 
 
+_MAP_SIZE = 16
+
+
+def _map_pixels_sql() -> str:
+    n = _MAP_SIZE * _MAP_SIZE
+    return f"""pixels AS (SELECT CASE WHEN k < {n} THEN 1 ELSE -1 END AS hemisphere, (k % {n}) % {_MAP_SIZE} AS x,
+      (k % {n}) // {_MAP_SIZE} AS y, avg(p_retailprice) / 1000.0::DOUBLE AS value FROM (SELECT p_partkey % {2 * n} AS k, p_retailprice FROM part) GROUP BY k)"""
+
+
+_GAL = ", ".join(f"{r[0]!r}::DOUBLE * vx + {r[1]!r}::DOUBLE * vy + {r[2]!r}::DOUBLE * vz AS g{c}" for r, c in zip(GALACTIC, "xyz"))
+
+
+@query(
+    "dust_from_map",
+    f"""WITH {_GRID_SQL}, {_map_pixels_sql()},
+v AS (SELECT cell, cos(radians(dec)) * cos(radians(ra)) AS vx, cos(radians(dec)) * sin(radians(ra)) AS vy, sin(radians(dec)) AS vz FROM grid),
+g AS (SELECT cell, {_GAL} FROM v),
+lb AS (SELECT cell, atan2(gy, gx) AS l, asin(least(greatest(gz, -1.0), 1.0)) AS b FROM g),
+p AS (SELECT cell, CASE WHEN b >= 0 THEN 1 ELSE -1 END AS h, l, b FROM lb),
+q AS (SELECT cell, h, sqrt(greatest(1.0 - h * sin(b), 0.0)) * cos(l) * {_MAP_SIZE / 2} + {_MAP_SIZE / 2 - 0.5} AS x,
+    -h * sqrt(greatest(1.0 - h * sin(b), 0.0)) * sin(l) * {_MAP_SIZE / 2} + {_MAP_SIZE / 2 - 0.5} AS y FROM p),
+c AS (SELECT cell, h, least(greatest(x, 0.0), {_MAP_SIZE - 1}.0) AS x, least(greatest(y, 0.0), {_MAP_SIZE - 1}.0) AS y FROM q),
+f AS (SELECT cell, h, least(floor(x), {_MAP_SIZE - 2}) AS x0, least(floor(y), {_MAP_SIZE - 2}) AS y0, x, y FROM c),
+corners AS (SELECT cell, h, x0 + dx AS px, y0 + dy AS py,
+    (CASE WHEN dx = 1 THEN x - x0 ELSE 1 - (x - x0) END) * (CASE WHEN dy = 1 THEN y - y0 ELSE 1 - (y - y0) END) AS w
+  FROM f, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) d(dx, dy))
+SELECT cell, round(sum(w * coalesce(value, 0.0)), 6) AS eb_v FROM corners LEFT JOIN pixels ON hemisphere = h AND pixels.x = px AND pixels.y = py
+GROUP BY cell""",
+)
+def _(spark, sf):
+    """eb_v of every grid cell sampled from a map of two polar projections (pixels made from the part table)."""
+    n = _MAP_SIZE * _MAP_SIZE
+    k = F.col("p_partkey") % (2 * n)
+    pixels = table(spark, sf, "part").groupBy(k.alias("k")).agg((F.avg("p_retailprice") / d(1000)).alias("value")).select(
+        F.when(F.col("k") < n, 1).otherwise(-1).alias("hemisphere"), ((F.col("k") % n) % _MAP_SIZE).alias("x"), ((F.col("k") % n) / _MAP_SIZE).cast("long").alias("y"), "value"
+    )
+    points = sky_grid(spark, GRID_LEVEL)
+    return sample_polar_map(points, pixels, _MAP_SIZE).withColumn("eb_v", F.round("eb_v", 6))
+
+
 @query("dust_table", f"SELECT *, {_extinction_sql()} FROM ({_DUST_GRID})")
 def _(spark, sf):
     stored = dust_table(spark, _dust_values(spark, sf), _database(spark), level=GRID_LEVEL)
