@@ -146,7 +146,10 @@ class CSR:
 
     def transpose(self) -> CSR:
         rows = np.repeat(np.arange(len(self.indptr) - 1), np.diff(self.indptr))
-        order = np.argsort(self.indices, kind="stable")
+        if np.all(self.indices[1:] >= self.indices[:-1]):  # columns already in order: rows stay as they are
+            order = np.arange(len(self.indices))
+        else:
+            order = np.argsort(self.indices, kind="stable")
         counts = np.bincount(self.indices, minlength=self.n_cols)
         return CSR(np.concatenate(([0], np.cumsum(counts))), rows[order], len(self.indptr) - 1)
 
@@ -173,6 +176,9 @@ class CSR:
         return key // (other_t.n_cols + 1), key % (other_t.n_cols + 1)
 
 
+_CHUNK_BYTES = 1 << 20
+
+
 def _gathered(buf: np.ndarray, at: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
     """The bytes of the ids one after the other."""
     total = int(lengths.sum())
@@ -180,6 +186,35 @@ def _gathered(buf: np.ndarray, at: np.ndarray, lengths: np.ndarray, ids: np.ndar
     return buf[starts + np.arange(total)].tobytes()
 
 
+def _joins_up(buf: np.ndarray, at: np.ndarray, lengths: np.ndarray, ids: np.ndarray, target: bytes) -> bool:
+    """Whether the ids' bytes, joined, are ``target``; compared a stretch of about 1 MB at a time."""
+    ends = np.cumsum(lengths)
+    first, done = 0, 0
+    while first < len(ids):
+        last = max(int(np.searchsorted(ends, done + _CHUNK_BYTES, side="right")), first + 1)
+        size = int(ends[last - 1]) - done
+        if _gathered(buf, at, lengths[first:last], ids[first:last]) != target[done : done + size]:
+            return False
+        first, done = last, done + size
+    return True
+
+
+def _overlaps(lengths_a: np.ndarray, lengths_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, cuts: np.ndarray) -> int:
+    """Pairs of A and B occurrences that share a byte: the non-zeros of A·Bᵀ over the token-byte incidences, computed
+    for stretches of about 1 MB that end at common cuts (no token crosses one), so memory stays bounded."""
+    total = int(cuts[-1])
+    stops = np.unique(np.append(cuts[np.minimum(np.searchsorted(cuts, np.arange(_CHUNK_BYTES, total, _CHUNK_BYTES)), len(cuts) - 1)], total))
+    count, lo, ia, ib = 0, 0, 0, 0
+    for hi in stops.tolist():
+        ja = int(np.searchsorted(ends_a, hi, side="right"))
+        jb = int(np.searchsorted(ends_b, hi, side="right"))
+        bytes_a = CSR.from_lengths(lengths_a[ia:ja], hi - lo)
+        bytes_b = CSR.from_lengths(lengths_b[ib:jb], hi - lo)
+        count += len(bytes_a.times_transpose(bytes_b)[0])
+        lo, ia, ib = hi, ja, jb
+    return count
+
+
 def _described(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> str:
     """``a1,a2|b1;a3|b2,b3``: each group's A ids, then its B ids, in order; built by one join."""
     same_a = np.append(group_a[1:] == group_a[:-1], False)
@@ -187,11 +222,17 @@ def _described(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.nd
     sep_a = np.where(same_a, ",", "|")
     sep_b = np.where(same_b, ",", ";")
     sep_b[-1] = ""
-    order = np.lexsort((np.concatenate((np.arange(len(a)), np.arange(len(b)))), np.repeat([0, 1], [len(a), len(b)]), np.concatenate((group_a, group_b))))
-    words = _DECIMAL[np.concatenate((a, b))[order]]
-    seps = np.concatenate((sep_a, sep_b))[order]
-    out = np.empty(2 * len(order), dtype=object)
-    out[0::2], out[1::2] = words, seps
+    # groups are consecutive runs of both: A token i goes after the B tokens of earlier groups, B token j after the
+    # A tokens of its group and of earlier ones
+    groups = int(group_a[-1]) + 1
+    b_before = np.searchsorted(group_b, np.arange(groups))
+    a_through = np.searchsorted(group_a, np.arange(groups), side="right")
+    place = np.empty(len(a) + len(b), dtype=np.int64)
+    place[: len(a)] = np.arange(len(a)) + b_before[group_a]
+    place[len(a) :] = np.arange(len(b)) + a_through[group_b]
+    out = np.empty(2 * len(place), dtype=object)
+    out[2 * place] = _DECIMAL[np.concatenate((a, b))]
+    out[2 * place + 1] = np.concatenate((sep_a, sep_b))
     return "".join(out.tolist())
 
 
@@ -207,12 +248,11 @@ def align(v: Vocabularies, text: str | None, a_ids: list[int], b_ids: list[int])
     la, lb = v.a_len[a], v.b_len[b]
     if la.sum() != len(target) or lb.sum() != len(target):
         return None
-    if _gathered(v.a_buf, v.a_at, la, a) != target or _gathered(v.b_buf, v.b_at, lb, b) != target:
+    if not _joins_up(v.a_buf, v.a_at, la, a, target) or not _joins_up(v.b_buf, v.b_at, lb, b, target):
         return None
-    bytes_a, bytes_b = CSR.from_lengths(la, len(target)), CSR.from_lengths(lb, len(target))
-    overlaps = len(bytes_a.times_transpose(bytes_b)[0])
     ends_a, ends_b = np.cumsum(la), np.cumsum(lb)
-    cuts = np.intersect1d(ends_a, ends_b)
+    cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)  # ends strictly increase
+    overlaps = _overlaps(la, lb, ends_a, ends_b, cuts)
     group_a = np.searchsorted(cuts, ends_a, side="left")
     group_b = np.searchsorted(cuts, ends_b, side="left")
     left, right = CSR.from_labels(group_a, len(cuts)).times_transpose(CSR.from_labels(group_b, len(cuts)))
@@ -241,7 +281,7 @@ def _aligner(a_path: str, b_path: str):
             present = [t or "" for t in texts]
             for lo, hi in slices(present):
                 a_enc = v.a.encode_ordinary_batch([" " + t for t in present[lo:hi]], num_threads=1)
-                b_enc = v.b.encode(present[lo:hi], out_type=int)
+                b_enc = v.b.encode(present[lo:hi], out_type=int, num_threads=1)
                 out = {name: [] for name in _ARROW.names if name != "pairs"}
                 parts: list[tuple] = []
                 for doc_id, text, ea, eb in zip(doc_ids[lo:hi], texts[lo:hi], a_enc, b_enc):

@@ -103,3 +103,18 @@ def test_gustavson_product_equals_dense():
     rows, cols = A.times_transpose(B)
     want = np.argwhere(dense_a @ dense_b.T > 0)
     assert sorted(zip(rows.tolist(), cols.tolist())) == sorted(map(tuple, want.tolist()))
+
+
+def test_stretches_of_bytes_give_the_same_counts(sample, monkeypatch):
+    from skytables.llm import alignment
+
+    v = vocabularies(*_paths())
+    texts = [r.text for r in sample.select("text").limit(40).collect()] + ["x" * 5000, "ab " * 3000]
+    enc = [(t, v.a.encode_ordinary(" " + (t or "")), v.b.encode(t or "", out_type=int)) for t in texts]
+    whole = [alignment.align(v, t, a, b) for t, a, b in enc]
+    monkeypatch.setattr(alignment, "_CHUNK_BYTES", 50)
+    cut = [alignment.align(v, t, a, b) for t, a, b in enc]
+    for w, c in zip(whole, cut):
+        assert (w is None) == (c is None)
+        if w:
+            assert (w["n_overlaps"], w["n_links"], w["groups_sha256"]) == (c["n_overlaps"], c["n_links"], c["groups_sha256"])
