@@ -277,8 +277,9 @@ def archive_round_trip(pages: DataFrame, *, key: str = "page_id", url: str = "ur
     found = materialise(look_up(asked, directory, folder).select("file", "start", "length").distinct())
     records = materialise(read_records(found, folder, with_payload=False).drop("payload"))
     kind = pages.schema[key].dataType
-    sizes = records.filter("kind = 'response'").select(F.col("id").alias("refers_to"), F.col("payload_bytes").alias("full")).dropDuplicates(["refers_to"])
-    out = records.join(sizes, "refers_to", "left")
+    # a revisit's size is that of the response it names with its digest: one id may hold several payloads
+    sizes = records.filter("kind = 'response'").select(F.col("id").alias("refers_to"), "digest", F.col("payload_bytes").alias("full"))
+    out = records.join(sizes.dropDuplicates(["refers_to", "digest"]), ["refers_to", "digest"], "left")
     return out.select(
         F.col("id").cast(kind).alias(key),
         F.coalesce("payload_bytes", "full").alias("payload_bytes"),

@@ -162,3 +162,10 @@ def test_all_of_a_text_is_in_the_slot():
     for left, right in ((f"<p>{a}</p>", f"<ul><li>{b}</ul>"), (f"<section>{a}</section>", f"<section class=x>{b}</section>"), ("<h1>Title</h1>", f"<div>{b}</div>"), (f"<p>{a}</p>", f"<blockquote>{b}</blockquote>")):
         text = main_text(f"<body><main>{left}{right}</main></body>", None, set(), 0.6)
         assert text.endswith("\n\n" + b) and (a in text or text.startswith("Title"))
+
+
+def test_revisit_takes_the_size_of_the_payload_it_names(spark):
+    first, second = "a" * 150, "b" * 400
+    rows = [(1, "http://x.org/1", first), (1, "http://x.org/1b", second), (7, "http://x.org/7", second)]
+    got = {(r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in archive_round_trip(pages(spark, rows)).collect()}
+    assert got == {(1, 150, "response", None), (1, 400, "response", None), (7, 400, "revisit", 1)}
