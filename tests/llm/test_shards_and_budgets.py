@@ -1,3 +1,5 @@
+import hashlib
+import math
 import zlib
 from collections import Counter, defaultdict
 from itertools import product
@@ -130,3 +132,27 @@ def test_sources_with_a_common_beginning_are_told_apart(documents):
     for r in hilbert_shards(documents(rows)).collect():
         where[r.source].add(r.shard)
     assert len(where) == 16 and all(len(shards) <= 3 for shards in where.values())
+
+
+def test_cuts_equal_a_brute_force_walk_along_the_curve(sample):
+    # walk the groups of equal texts in the order of (curve, md5 of text), cut by the middle of each group's bytes
+    shards = 8
+    out = hilbert_shards(sample, shards=shards).withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(64))).collect()
+    groups = defaultdict(list)
+    for r in out:
+        groups[hashlib.md5((r.text or "").encode()).hexdigest()].append(r)
+    assert all(len({r.curve for r in rows}) == 1 for rows in groups.values())
+    total = sum(r["size"] for r in out)
+    expected, before_bytes, before_rows, start = Counter(), 0, 0, {}
+    for fp in sorted(groups, key=lambda fp: (groups[fp][0].curve, fp)):
+        rows = sorted(groups[fp], key=lambda r: (r._salt, r.doc_id is not None, str(r.doc_id)))
+        b = sum(r["size"] for r in rows)
+        shard = min(math.floor((before_bytes + b / 2) * shards / total), shards - 1)
+        start.setdefault(shard, before_rows)
+        for i, r in enumerate(rows):
+            expected[(shard, before_rows - start[shard] + i, fp, r._salt, r.doc_id)] += 1
+        before_bytes, before_rows = before_bytes + b, before_rows + len(rows)
+    got = Counter((r.shard, r.slot, hashlib.md5((r.text or "").encode()).hexdigest(), r._salt, r.doc_id) for r in out)
+    assert got == expected
+    ordered = sorted(out, key=lambda r: (r.shard, r.slot))
+    assert all(x.curve <= y.curve for x, y in zip(ordered, ordered[1:]))  # slots follow the curve
