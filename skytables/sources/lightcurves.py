@@ -113,24 +113,23 @@ def attach_header_lines(
 
     For lines that are already rows. A file may hold any share of them, so it is cut in blocks of line numbers: the
     window runs inside a block, and only one row per block, its last header, takes part in carrying headers across
-    blocks.
+    blocks. A header carried into a block becomes a row before the block's lines, so nothing is joined: a join here
+    would be broadcast by the size of the unread input, and the driver hold a row per block of every file.
     """
     is_header = F.col(value).startswith("#")
     blocked = lines.withColumn("_block", F.floor(F.col(line_no) / block))
-    in_block = Window.partitionBy(path, "_block").orderBy(line_no)
-    filled = blocked.withColumn("_own", F.last(F.when(is_header, F.col(value)), ignorenulls=True).over(in_block))
-
     last_of_block = blocked.groupBy(path, "_block").agg(
         F.max_by(F.when(is_header, F.col(value)), F.when(is_header, F.col(line_no))).alias("_last")
     )
     before = Window.partitionBy(path).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last_of_block.select(path, "_block", F.last("_last", ignorenulls=True).over(before).alias("_carried"))
-    return (
-        filled.where(~is_header)
-        .join(carried, [path, "_block"])
-        .withColumn("header", F.coalesce("_own", "_carried"))
-        .drop("_block", "_own", "_carried")
+    carried = last_of_block.select(
+        path, "_block", F.lit(False).alias("_is_line"), F.last("_last", ignorenulls=True).over(before).alias("_own")
     )
+    own = blocked.withColumns({"_is_line": F.lit(True), "_own": F.when(is_header, F.col(value))})
+    rows = own.unionByName(carried.where("_own IS NOT NULL"), allowMissingColumns=True)
+    in_block = Window.partitionBy(path, "_block").orderBy("_is_line", line_no)
+    filled = rows.withColumn("header", F.last("_own", ignorenulls=True).over(in_block))
+    return filled.where(F.col("_is_line") & ~is_header).select(*lines.columns, "header")
 
 
 def write_flat_csv(df: DataFrame, path: str) -> None:
