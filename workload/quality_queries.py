@@ -315,7 +315,8 @@ def _(spark, sf):
     """The default sketch: the rank of every quantile lies within count / accuracy of the level's."""
     epochs = obs(spark, sf)
     found = quantiles(epochs, "mjd", _LEVELS, by=["fieldid", "band"], accuracy=_SKETCH_ACCURACY)
-    rows = epochs.select("fieldid", "band", "mjd").join(found, ["fieldid", "band"])
+    # A row per field and band: unhinted, the epochs were broadcast, or a few tasks sorted a whole group each.
+    rows = epochs.select("fieldid", "band", "mjd").join(F.broadcast(found), ["fieldid", "band"])
     n, within = F.count("*"), F.lit(True)
     for i, q in enumerate(_LEVELS):
         value = F.get("quantiles", F.lit(i))
@@ -334,7 +335,7 @@ def _(spark, sf):
     epochs = obs(spark, sf)
     sketches = materialise(stored_sketches(epochs, "mjd", ["fieldid", "band"], k=_KLL_K))
     found = sketch_quantiles(sketches, _LEVELS, by=["fieldid"])
-    rows = epochs.select("fieldid", "mjd").join(found, "fieldid")
+    rows = epochs.select("fieldid", "mjd").join(F.broadcast(found), "fieldid")
     n, within = F.count("*"), F.lit(True)
     for i, q in enumerate(_LEVELS):
         value = F.get("quantiles", F.lit(i))
