@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,13 +57,18 @@ def source_observations_in_parts(
 
 
 _PARTS = "skytables.parts"
+_EDGES = "skytables.edges"
 
 
-def _parts_of(spark: SparkSession, name: str) -> str | None:
-    found = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == _PARTS).collect()
+def _property(spark: SparkSession, name: str, key: str) -> str | None:
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == key).collect()
     return found[0]["value"] if found else None
 
 
+def _parts_of(spark: SparkSession, name: str) -> str | None:
+    return _property(spark, name, _PARTS)
+
+
 def _store_slices(
     df: DataFrame,
     key: str,
@@ -70,13 +78,15 @@ def _store_slices(
     sort_by: list[str],
     parts: int,
     interval: int | str,
+    edges: list | None = None,
 ) -> DataFrame:
     """The job's result as a table; with several parts, one slice of keys after the other, each a partition of its own.
 
     For all slices, ``on_exists`` holds as for one write: an existing table fails, is kept, is dropped first, or has its
     slices replaced. One slice replaces its own partition, emptied first. The number of parts is kept with the table, and
     a write by another number of parts is refused unless the table is dropped: slices of two cuts would overlap.
-    Slice edges are computed once for all slices.
+    Slice edges are computed once for all slices, unless given, and kept with the table: a slice written later, or again,
+    is cut by the same edges, so slices never overlap, and the keys are not ranked again for each.
     """
     spark = df.sparkSession
     if parts == 1:
@@ -92,14 +102,22 @@ def _store_slices(
             exists = False
     if exists and _parts_of(spark, name) != str(parts):
         raise ValueError(f"table {name} was written in {_parts_of(spark, name)} parts, not {parts}; drop it to cut it anew")
-    edges = quantile_grid(df, key, parts, exact=True)
+    if edges is None:
+        kept = _property(spark, name, _EDGES) if exists and interval != "all" else None
+        inner = json.loads(kept) if kept else quantile_grid(df, key, parts, exact=True)[1:-1]
+        edges = [-math.inf, *inner, math.inf]
     for number in range(parts) if interval == "all" else [interval]:
         rows = job(slice_of(df, key, parts, number, edges)).withColumn("slice", F.lit(number))
         write_table(rows, name, "replace", partition_by=["slice"], sort_by=sort_by, covers=[{"slice": number}])
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_PARTS}' = '{parts}')")
+    inner = json.dumps(edges[1:-1])
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_PARTS}' = '{parts}', '{_EDGES}' = '{inner}')")
     return spark.table(name)
 
 
+def _summary_of_slice(summary: Callable[[DataFrame], DataFrame], rows: DataFrame) -> DataFrame:
+    return summary(rows.drop("slice"))
+
+
 def source_tables(
     spark: SparkSession,
     meta: str,
@@ -116,8 +134,9 @@ def source_tables(
     """Write the cross match, source observations and source metadata; returns the table names.
 
     ``store_circle`` also writes the full pair list, ``short`` the metadata of the release's private interval. With
-    ``parts``, pairs and source observations are written by slices of their ids, all or the one numbered ``interval``; a
-    slice that is written again replaces itself. The cross match is always whole, and kept if a single slice is asked for.
+    ``parts``, pairs, source observations and source metadata are written by slices of their ids, all or the one numbered
+    ``interval``; a slice that is written again replaces itself, and the tables have a column ``slice``. The cross match is
+    always whole, and kept if a single slice is asked for.
     """
     create_database(spark, database)
     suffix = f"{radius_arcsec:g}".replace(".", "p")
@@ -150,9 +169,12 @@ def source_tables(
         ["sid", "mjd"],
         parts,
         interval,
-    ).drop("slice")
-    again = "drop" if one_slice else on_exists
-    write_table(source_meta(source_obs), names["source_meta"], again, sort_by=["cell"])
+    )
+    summaries = {"source_meta": source_meta}
     if short:
-        write_table(source_meta_short(source_obs, release), names["source_meta_short"], again, sort_by=["cell"])
+        summaries["source_meta_short"] = lambda rows: source_meta_short(rows, release)
+    by_slice = [-math.inf, *range(1, parts), math.inf]  # a source lies in one slice: its own partition tells all of it
+    for kind, summary in summaries.items():
+        job = partial(_summary_of_slice, summary)
+        _store_slices(source_obs, "slice", job, names[kind], on_exists, ["cell"], parts, interval, by_slice)
     return names

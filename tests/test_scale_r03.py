@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
+from skytables.plans import source_tables as plans
 from skytables.sources.lightcurves import attach_header_lines
 
 
@@ -40,3 +41,17 @@ def test_quantiles_go_to_the_epochs(spark, name):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "SortMergeJoin" not in text and "BuildRight" in text
+
+
+def test_later_slices_use_the_first_ones_edges(spark, tmp_path, monkeypatch):
+    """Each slice ranked all keys again."""
+    calls = []
+    whole = plans.quantile_grid
+    monkeypatch.setattr(plans, "quantile_grid", lambda *a, **k: calls.append(1) or whole(*a, **k))
+    spark.sql(f"CREATE DATABASE edges_r03 LOCATION '{tmp_path}/edges'")
+    df = spark.range(90).select(F.col("id").alias("sid"), (F.col("id") * 2).alias("v"))
+    for number in (0, 2, 1, 1):
+        stored = plans._store_slices(df, "sid", lambda part: part, "edges_r03.t", "fail", ["sid"], 3, number)
+    assert len(calls) == 1
+    assert stored.count() == 90 and stored.select("sid").distinct().count() == 90
+    assert [r["count"] for r in stored.groupBy("slice").count().orderBy("slice").collect()] == [29, 30, 31]

@@ -352,7 +352,7 @@ def _(spark, sf):
     obs(spark, sf).write.saveAsTable(f"{database}.obs")
     for interval in (0, 1, 2, 1):
         names = source_tables(spark, f"{database}.meta", f"{database}.obs", database, 8, RADIUS, parts=3, interval=interval)
-    return _flat(spark.table(names["source_meta"]))
+    return _flat(spark.table(names["source_meta"]).drop("slice"))
 
 
 @query(
